@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates
+from folioframe.llm import duplicates, lookalikes
 from folioframe.sources.tables import table
 
 
@@ -23,11 +24,41 @@ def p7_block_copies(spark: SparkSession, folder: str) -> DataFrame:
     return duplicates.copies(duplicates.block_records(table(spark, folder, "blocks")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p7_found": p7_found, "p7_block_copies": p7_block_copies}
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(src, id, text) of all blocks and pages."""
+    blocks = table(spark, folder, "blocks").select(F.lit("block").alias("src"), F.col("block_id").alias("id"), "text")
+    pages = table(spark, folder, "vision_results").select(
+        F.lit("page").alias("src"), F.col("page_id").alias("id"), F.col("full_text").alias("text")
+    )
+    return blocks.unionByName(pages)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.lookalike_pairs(texts(spark, folder))
+
+
+def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.forms(texts(spark, folder))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p5_found": p5_found,
+    "p5_forms": p5_forms,
+    "p7_found": p7_found,
+    "p7_block_copies": p7_block_copies,
+}
 
 _FOLD = "lower(regexp_replace({0}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g'))"
 
+_TEXTS = """t AS (
+  SELECT 'block' AS src, block_id AS id, text FROM blocks UNION ALL SELECT 'page', page_id, full_text FROM vision_results
+)"""
+
 ORACLES: dict[str, str] = {
+    "p5_forms": f"WITH {_TEXTS} SELECT src, id, {lookalikes.form_sql('text')} AS form FROM t",
+    "p5_found": f"""WITH {_TEXTS}, f AS (SELECT src, id, text, {lookalikes.form_sql('text')} AS form FROM t WHERE text IS NOT NULL)
+SELECT DISTINCT a.src, least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b
+FROM f a JOIN f b ON a.src = b.src AND a.form = b.form AND a.text < b.text AND a.id <> b.id""",
     "p7_block_copies": f"""SELECT 'block' AS src, MIN(block_id) AS kept_id, COUNT(DISTINCT block_id) AS n_copies FROM blocks
 GROUP BY page_id, idx, CAST(box AS VARCHAR), class_label, is_picture, reading_order_index, {_FOLD.format("text")}""",
 }
