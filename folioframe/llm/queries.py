@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates, lookalikes
+from folioframe.llm import duplicates, lookalikes, truncation
 from folioframe.sources.tables import table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.truncated(table(spark, folder, "provider_results")).withColumnRenamed("id", "result_id")
+
+
+def p2_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.rates(table(spark, folder, "provider_results"), "result_id", "raw_text", ["provider", "model"])
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     records = (
         duplicates.block_records(table(spark, folder, "blocks"))
@@ -42,6 +50,8 @@ def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_rates": p2_rates,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p7_found": p7_found,
