@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates, lookalikes, truncation
+from folioframe.llm import duplicates, lookalikes, rankcompactors, truncation
 from folioframe.sources.tables import table
 
 
@@ -19,6 +19,32 @@ def p2_rates(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.rates(table(spark, folder, "provider_results"), "result_id", "raw_text", ["provider", "model"])
 
 
+DAILY = ["metric", "provider", "file", "day"]
+
+
+def _daily(spark: SparkSession, folder: str) -> DataFrame:
+    values = rankcompactors.measurements(
+        table(spark, folder, "page_scores"), table(spark, folder, "usage_log"), table(spark, folder, "provider_results")
+    )
+    return rankcompactors.sketches(values, DAILY, "value")
+
+
+def _answers(merged: DataFrame, keys: list[str]) -> DataFrame:
+    bounds = [F.lit(rankcompactors.error_bound(q)).alias(f"rank_error_p{round(100 * q)}") for q in rankcompactors.PERCENTILES]
+    return merged.select(*keys, "n", "p50", "p90", "p95", "p99", *bounds)
+
+
+def p3_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles per metric, provider, file and day."""
+    return _answers(rankcompactors.merge(_daily(spark, folder), DAILY), DAILY)
+
+
+def p3_providers(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles per metric and provider, merged from the sketches of files and days."""
+    daily = rankcompactors.merge(_daily(spark, folder), DAILY)
+    return _answers(rankcompactors.merge(daily, ["metric", "provider"]), ["metric", "provider"])
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     records = (
         duplicates.block_records(table(spark, folder, "blocks"))
@@ -52,6 +78,8 @@ def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_rates": p2_rates,
+    "p3_percentiles": p3_percentiles,
+    "p3_providers": p3_providers,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p7_found": p7_found,
