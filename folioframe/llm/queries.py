@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates, lookalikes, rankcompactors, truncation
+from folioframe.llm import duplicates, lookalikes, packing, rankcompactors, truncation
 from folioframe.sources.tables import table
 
 
@@ -75,6 +75,14 @@ def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalikes.forms(texts(spark, folder))
 
 
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(packing.token_counts(table(spark, folder, "documents")))
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fill(p8_containers(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_rates": p2_rates,
@@ -84,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_forms": p5_forms,
     "p7_found": p7_found,
     "p7_block_copies": p7_block_copies,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
 }
 
 _FOLD = "lower(regexp_replace({0}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g'))"
