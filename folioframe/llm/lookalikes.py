@@ -62,15 +62,16 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def form_sql(column: str) -> str:
-    """The SQL expression of a text's form."""
+def form_sql(column: str, soft_hyphens: bool = False) -> str:
+    """The SQL expression of a text's form; with ``soft_hyphens`` these stay, for readers of broken lines."""
     wide_from, wide_to, several = compatibility_forms()
     source = SPACES + wide_from + CYRILLIC_FROM + GREEK_FROM + ARABIC_FROM + LATIN_FROM
     target = " " * len(SPACES) + wide_to + CYRILLIC_TO + GREEK_TO + ARABIC_TO + LATIN_TO
     inner = column
     for found, plain in (*SEQUENCES, *several):
         inner = f"replace({inner}, {_quoted(found)}, {_quoted(plain)})"
-    bare = f"nfc_normalize(regexp_replace({inner}, {_quoted(INVISIBLE)}, '', 'g'))"
+    unseen = INVISIBLE.replace("\xad", "") if soft_hyphens else INVISIBLE
+    bare = f"nfc_normalize(regexp_replace({inner}, {_quoted(unseen)}, '', 'g'))"
     return f"nfc_normalize(translate({bare}, {_quoted(source)}, {_quoted(target)}))"
 
 
@@ -92,9 +93,9 @@ def _in_duckdb(select: str):
     return run
 
 
-def forms(texts: DataFrame) -> DataFrame:
+def forms(texts: DataFrame, soft_hyphens: bool = False) -> DataFrame:
     """(src, id, form) of ``texts`` (src, id, text). A null text has a null form, an empty text an empty one."""
-    sql = f"SELECT src, id, {form_sql('text')} AS form FROM batch"
+    sql = f"SELECT src, id, {form_sql('text', soft_hyphens)} AS form FROM batch"
     return texts.select("src", F.col("id").cast("bigint").alias("id"), "text").mapInArrow(
         _in_duckdb(sql), "src string, id bigint, form string"
     )

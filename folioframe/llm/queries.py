@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates, lookalikes, packing, rankcompactors, truncation
+from folioframe.llm import duplicates, lookalikes, packing, rankcompactors, scannoise, truncation
 from folioframe.sources.tables import table
 
 
@@ -67,6 +67,14 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     return blocks.unionByName(pages)
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scannoise.noise(table(spark, folder, "vision_results"), table(spark, folder, "blocks"))
+
+
+def p4_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return scannoise.paragraphs(table(spark, folder, "vision_results"), table(spark, folder, "blocks"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalikes.lookalike_pairs(texts(spark, folder))
 
@@ -88,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_rates": p2_rates,
     "p3_percentiles": p3_percentiles,
     "p3_providers": p3_providers,
+    "p4_found": p4_found,
+    "p4_paragraphs": p4_paragraphs,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p7_found": p7_found,
