@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates, lookalikes, packing, rankcompactors, scannoise, truncation
+from folioframe.llm import duplicates, languages, lookalikes, packing, rankcompactors, scannoise, truncation
 from folioframe.sources.tables import table
 
 
@@ -45,6 +45,14 @@ def p3_providers(spark: SparkSession, folder: str) -> DataFrame:
     return _answers(rankcompactors.merge(daily, ["metric", "provider"]), ["metric", "provider"])
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.mislabelled(table(spark, folder, "vision_results"), table(spark, folder, "page_annotations"))
+
+
+def p6_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.languages(table(spark, folder, "vision_results"), table(spark, folder, "page_annotations"))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     records = (
         duplicates.block_records(table(spark, folder, "blocks"))
@@ -100,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_paragraphs": p4_paragraphs,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
+    "p6_found": p6_found,
+    "p6_languages": p6_languages,
     "p7_found": p7_found,
     "p7_block_copies": p7_block_copies,
     "p8_containers": p8_containers,
