@@ -1,8 +1,9 @@
 """Language of pages and blocks by fusing the evidence of the text with what is declared about it.
 
-* Text: naive Bayes over words and their scripts, hashed into a fixed number of buckets, so the model has the same size for any corpus.
-  It is counted from the pages' own declared languages; wrong labels are a minority and cancel out. A second round counts again with the
-  languages the first round found per line, which frees the counts from foreign paragraphs.
+* Text: naive Bayes over words hashed into a fixed number of buckets, so the model has the same size for any corpus; a word the corpus
+  does not know speaks by its script only. It is counted from the pages' own declared languages; wrong labels are a minority and cancel
+  out. A second round counts again with the languages the first round found per line, which frees the counts from foreign paragraphs.
+  Hindi in Latin letters is a class of its own in the model and Hindi in the result.
 * A page is a mixture: every line has a posterior over languages, and the page's shares are re-estimated from them.
 * Declared language, the language word in the file's name, and the file itself (the host) give a prior. The prior of a file is its
   other pages' shares, smoothed by those of files with the same name word, smoothed by all pages: grouped sums only.
@@ -41,6 +42,10 @@ MIN_WORDS = 5
 
 _PIECE = re.compile(r"\S+")
 _N = len(CODES)
+#: Classes of the text model: the languages, then Hindi in Latin letters.
+_CLASSES = _N + 1
+#: A word bucket counts as known from this count on.
+KNOWN = 3.0
 _LETTERS = re.compile(r"[^\W\d_]")
 SHARES = "array<double>"
 
@@ -62,17 +67,16 @@ def _hash(text: str) -> int:
 
 
 class Features:
-    """Buckets of a text's words; bucket ids of words seen before are remembered up to a bound."""
+    """(word bucket, script bucket) of a text's words; words seen before are remembered up to a bound."""
 
     LIMIT = 300_000
 
     def __init__(self) -> None:
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def __call__(self, text: str) -> tuple[list[int], int]:
-        """(buckets, number of words with a letter)."""
-        out: list[int] = []
-        words = 0
+    def __call__(self, text: str) -> list[tuple[int, int]]:
+        """One pair of buckets per word with a letter."""
+        out: list[tuple[int, int]] = []
         for piece in _PIECE.findall(text.lower()):
             ids = self.known.get(piece)
             if ids is None:
@@ -82,15 +86,28 @@ class Features:
                 ids = (_hash(word), _hash(f"script {ord(word[0]) >> 7}")) if _LETTERS.search(piece) and word else ()
                 self.known[piece] = ids
             if ids:
-                words += 1
-                out += ids
-        return out, words
+                out.append(ids)
+        return out
+
+
+class Model:
+    """log P(bucket | class) and which word buckets are known."""
+
+    def __init__(self, counts: np.ndarray):
+        log_p = np.log(counts + ALPHA) - np.log(counts.sum(axis=0) + ALPHA * BUCKETS)
+        self.weights = (log_p - log_p.mean(axis=1, keepdims=True)).astype(np.float32)
+        self.known = counts.sum(axis=1) >= KNOWN
+
+    def scores(self, found: list[tuple[int, int]]) -> np.ndarray:
+        """The log likelihood of each class, up to a constant."""
+        ids = np.array(found, np.int64)
+        return self.weights[np.where(self.known[ids[:, 0]], ids[:, 0], ids[:, 1])].sum(axis=0)
 
 
 def _line_shares(scores: np.ndarray, words: np.ndarray, prior: np.ndarray, rounds: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(shares of the text, posterior of each line) of the mixture."""
     pi = prior / prior.sum()
-    post = np.full_like(scores, 1 / _N)
+    post = np.full_like(scores, 1 / scores.shape[1])
     for _ in range(rounds):
         z = scores + np.log(pi + 1e-6)
         z -= z.max(axis=1, keepdims=True)
@@ -100,50 +117,58 @@ def _line_shares(scores: np.ndarray, words: np.ndarray, prior: np.ndarray, round
     return pi, post
 
 
-def _counts(model: np.ndarray | None):
-    """An Arrow function from (code, text) to sparse counts (bucket, code, n): by the declared code or, with a model, by each line's
+def _first_class(code: str, text: str) -> int:
+    """The class a declared language trains: Hindi that is mostly in Latin letters trains the class of its own."""
+    if code == "hi":
+        latin = sum("a" <= ch <= "z" for ch in text.lower())
+        if latin > sum(0x900 <= ord(ch) < 0x980 for ch in text):
+            return _N
+    return CODES.index(code)
+
+
+def _counts(model: Model | None):
+    """An Arrow function from (code, text) to sparse counts (bucket, code, n): by the declared language or, with a model, by each line's
     posterior."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        total = np.zeros((BUCKETS, _N))
+        total = np.zeros((BUCKETS, _CLASSES))
         for batch in batches:
             for code, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if model is None:
-                    np.add.at(total, (features(text)[0], CODES.index(code)), 1.0)
+                    ids = np.array(features(text), np.int64).ravel()
+                    np.add.at(total, (ids, _first_class(code, text)), 1.0)
                     continue
-                found = [features(line) for line in text.split("\n")]
-                found = [f for f in found if f[1]]
+                found = [f for f in map(features, text.split("\n")) if f]
                 if not found:
                     continue
-                scores = np.array([model[f[0]].sum(axis=0) for f in found])
-                _, post = _line_shares(scores, np.array([f[1] for f in found], float), np.ones(_N))
-                for (ids, _), p in zip(found, post):
-                    np.add.at(total, ids, p)
+                scores = np.array([model.scores(f) for f in found])
+                _, post = _line_shares(scores, np.array([len(f) for f in found], float), np.ones(_CLASSES))
+                for f, p in zip(found, post):
+                    np.add.at(total, np.array(f, np.int64).ravel(), p)
         at, code = np.nonzero(total > 1e-3)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(code.astype(np.int32)), pa.array(total[at, code])], ["bucket", "code", "n"])
 
     return run
 
 
-def _fitted(labelled: DataFrame, model: np.ndarray | None) -> np.ndarray:
-    """log P(bucket | language), BUCKETS x languages: what is collected has that size for any corpus."""
+def _fitted(labelled: DataFrame, model: Model | None) -> Model:
+    """The model of the counts, BUCKETS x classes: what is collected has that size for any corpus."""
     summed = labelled.mapInArrow(_counts(model), "bucket int, code int, n double").groupBy("bucket", "code").agg(F.sum("n").alias("n"))
-    counts = np.zeros((BUCKETS, _N))
+    counts = np.zeros((BUCKETS, _CLASSES))
     table = summed.toArrow()
     counts[table["bucket"].to_numpy(), table["code"].to_numpy()] = table["n"].to_numpy()
-    log_p = np.log(counts + ALPHA) - np.log(counts.sum(axis=0) + ALPHA * BUCKETS)
-    return (log_p - log_p.mean(axis=1, keepdims=True)).astype(np.float32)
+    return Model(counts)
 
 
-def fit(pages: DataFrame, label: str = "lang", text: str = "full_text") -> np.ndarray:
+def fit(pages: DataFrame, label: str = "lang", text: str = "full_text") -> Model:
     """The text model of ``pages``, in two rounds. Pages without a usable label train the second round only."""
     texts = pages.select(label_code(F.col(label)).alias("code"), F.col(text).alias("text")).where("text is not null")
     first = _fitted(texts.where("code is not null"), None)
     return _fitted(texts, first)
 
 
-def _text_shares(model: np.ndarray):
+def _text_shares(model: Model):
     """An Arrow function from (id, lines) to (id, shares, n_words, line_shares, line_words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,20 +176,20 @@ def _text_shares(model: np.ndarray):
         for batch in batches:
             shares, totals, line_posts, line_words = [], [], [], []
             for lines in batch.column(1).to_pylist():
-                found = [features(line) if line else ([], 0) for line in lines or []]
-                words = np.array([f[1] for f in found], float)
+                found = [features(line) if line else [] for line in lines or []]
+                words = np.array([len(f) for f in found], float)
+                totals.append(int(words.sum()))
+                line_words.append(words.astype(int).tolist())
                 if not words.sum():
                     shares.append([1 / _N] * _N)
-                    totals.append(0)
                     line_posts.append([[1 / _N] * _N for _ in found])
-                    line_words.append([0] * len(found))
                     continue
-                scores = np.array([model[f[0]].sum(axis=0) if f[0] else np.zeros(_N) for f in found])
-                pi, post = _line_shares(scores, words, np.ones(_N))
+                scores = np.array([model.scores(f) if f else np.zeros(_CLASSES) for f in found])
+                _, post = _line_shares(scores, words, np.ones(_CLASSES))
+                post[:, CODES.index("hi")] += post[:, _N]
+                post = post[:, :_N]
                 shares.append((words @ post / words.sum()).tolist())
-                totals.append(int(words.sum()))
                 line_posts.append(post.tolist())
-                line_words.append(words.astype(int).tolist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -179,7 +204,7 @@ def _text_shares(model: np.ndarray):
     return run
 
 
-def text_shares(texts: DataFrame, model: np.ndarray) -> DataFrame:
+def text_shares(texts: DataFrame, model: Model) -> DataFrame:
     """(id, shares, n_words, line_shares, line_words) of texts (id BIGINT, lines ARRAY<STRING>): the share of each language by words.
     Texts without words have even shares."""
     return texts.select("id", "lines").mapInArrow(
@@ -217,7 +242,7 @@ def _weights(code: Column) -> Column:
     return F.array(*[F.when(code == c, F.lit(TRUST)).otherwise(F.lit(1.0)) for c in CODES])
 
 
-def page_languages(pages: DataFrame, model: np.ndarray) -> DataFrame:
+def page_languages(pages: DataFrame, model: Model) -> DataFrame:
     """(page_id, label, lang, confidence, n_words) per page; a page delivered more than once counts once, its latest load.
 
     confidence is the fused share of the language against the runner-up. Null or wordless texts get the language of the prior.
@@ -249,7 +274,7 @@ def _best(shares: Column) -> tuple[Column, Column]:
     return lang.alias("lang"), F.round(top / (top + second), 6).alias("confidence")
 
 
-def block_languages(annotations: DataFrame, model: np.ndarray) -> DataFrame:
+def block_languages(annotations: DataFrame, model: Model) -> DataFrame:
     """(ann_id, block_idx, page_lang, lang, confidence, n_words) of every element of ``block_text`` with a word; null elements count as
     empty, null arrays give no row."""
     texts = annotations.where("block_text is not null").select(
