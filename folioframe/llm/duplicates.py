@@ -147,6 +147,10 @@ def _leaves(value: object, path: str, out: list[dict]) -> None:
         out.append({"field": path + "{}", "value": str(len(value)), "fold": False})
         for name, inner in value.items():
             _leaves(inner, f"{path}.{json.dumps(name)}", out)
+    elif isinstance(value, list) and value and not any(isinstance(x, (dict, list, str)) for x in value):
+        # A list of numbers, truth values and nulls is one value; only texts are compared on their own.
+        plain = [int(x) if isinstance(x, float) and x.is_integer() else x for x in value]
+        out.append({"field": path + "[]", "value": json.dumps(plain), "fold": False})
     elif isinstance(value, list):
         out.append({"field": path + "[]", "value": str(len(value)), "fold": False})
         for i, inner in enumerate(value):
