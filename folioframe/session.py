@@ -57,5 +57,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and scanned again, so that later readers prune columns."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
