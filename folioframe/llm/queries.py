@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates, languages, lookalikes, packing, rankcompactors, scannoise, truncation
+from folioframe.llm import duplicates, languages, lookalikes, packing, rankcompactors, reading, scannoise, truncation
 from folioframe.sources.tables import table
 
 
@@ -99,6 +99,10 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(p8_containers(spark, folder))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return reading.reading_bands(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_rates": p2_rates,
@@ -114,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_block_copies": p7_block_copies,
     "p8_containers": p8_containers,
     "p8_fill": p8_fill,
+    "p10_found": p10_found,
 }
 
 _FOLD = "lower(regexp_replace({0}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g'))"
