@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import duplicates, languages, lookalikes, packing, rankcompactors, reading, scannoise, truncation
+from folioframe.llm import duplicates, languages, leakage, lookalikes, packing, rankcompactors, reading, scannoise, truncation
 from folioframe.sources.tables import table
 
 
@@ -99,6 +99,14 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(p8_containers(spark, folder))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p9_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.reports(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return reading.reading_bands(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
 
@@ -118,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_block_copies": p7_block_copies,
     "p8_containers": p8_containers,
     "p8_fill": p8_fill,
+    "p9_found": p9_found,
+    "p9_reports": p9_reports,
     "p10_found": p10_found,
 }
 
