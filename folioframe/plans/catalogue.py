@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from folioframe.plans import nested
+from folioframe.plans import nested, pages
 
-QUERIES = nested.QUERIES
-ORACLES = nested.ORACLES
+_PARTS = (nested, pages)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
