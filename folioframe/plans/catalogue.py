@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from folioframe.plans import nested, pages
+from folioframe.plans import nested, pages, quality
 
-_PARTS = (nested, pages)
+_PARTS = (nested, pages, quality)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
