@@ -93,12 +93,13 @@ def _in_duckdb(select: str):
     return run
 
 
-def forms(texts: DataFrame, soft_hyphens: bool = False) -> DataFrame:
-    """(src, id, form) of ``texts`` (src, id, text). A null text has a null form, an empty text an empty one."""
-    sql = f"SELECT src, id, {form_sql('text', soft_hyphens)} AS form FROM batch"
-    return texts.select("src", F.col("id").cast("bigint").alias("id"), "text").mapInArrow(
-        _in_duckdb(sql), "src string, id bigint, form string"
-    )
+def forms(texts: DataFrame, soft_hyphens: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(src, id, keep, form) of ``texts`` (src, id, text). A null text has a null form, an empty text an empty one."""
+    rows = texts.select("src", F.col("id").cast("bigint").alias("id"), *keep, "text")
+    kept = "".join(f'"{c}", ' for c in keep)
+    sql = f"SELECT src, id, {kept}{form_sql('text', soft_hyphens)} AS form FROM batch"
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
+    return rows.mapInArrow(_in_duckdb(sql), f"{kinds}, form string")
 
 
 def digests(texts: DataFrame) -> DataFrame:
