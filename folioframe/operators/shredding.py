@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.functions.jsontext import whole_json
+
 ITEM = "[]"
 ROOT = "record"
 _TOKEN = re.compile(r"`(?:[^`]|``)*`|[A-Za-z0-9_.\-]+|[<>,:()]")
@@ -140,9 +142,7 @@ def entries(value: Column, steps: tuple[str, ...]) -> Column:
 
 def parsed(records: DataFrame, key: str, payload: str) -> DataFrame:
     """(rec, v): key and VARIANT of every record whose payload is valid JSON. Other columns are not read."""
-    return (
-        records.select(F.col(key).alias("rec"), F.try_parse_json(F.col(payload)).alias("v")).where(F.col("v").isNotNull())
-    )
+    return records.select(F.col(key).alias("rec"), whole_json(F.col(payload)).alias("v")).where(F.col("v").isNotNull())
 
 
 def infer_graph(records: DataFrame, key: str, payload: str, max_rounds: int = 12) -> Node:

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.functions.jsontext import is_json
 from folioframe.functions.text import is_blank, percent, strip
 from folioframe.operators.layout import CLASSES, RELATIONS, overlaps, whole, zipped
 
@@ -266,7 +267,7 @@ def missing_fields(records: DataFrame, key: str, payload: str) -> DataFrame:
     that hold one page; ``unreadable`` for what is not a JSON object. Null payloads are unreadable."""
     keys = F.json_object_keys(payload)
     absent = F.array_except(F.array(*map(F.lit, REQUIRED)), keys)
-    readable = F.try_parse_json(payload).isNotNull() & keys.isNotNull()
+    readable = is_json(F.col(payload)) & keys.isNotNull()
     return records.where(~F.coalesce(F.array_contains(keys, "pages"), F.lit(False))).select(
         key, F.when(readable, F.array_join(absent, ",")).otherwise("unreadable").alias("missing")
     )
