@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from folioframe.functions.jsontext import whole_json
 
 ITEM = "[]"
+#: Parts of an annotation that may come as JSON inside a string.
+PARTS = ("pages", "block_boxes", "block_relations", "checks", "validation", "validation_results")
 ROOT = "record"
 _TOKEN = re.compile(r"`(?:[^`]|``)*`|[A-Za-z0-9_.\-]+|[<>,:()]")
 
@@ -145,14 +147,16 @@ def parsed(records: DataFrame, key: str, payload: str) -> DataFrame:
     return records.select(F.col(key).alias("rec"), whole_json(F.col(payload)).alias("v")).where(F.col("v").isNotNull())
 
 
-def infer_graph(records: DataFrame, key: str, payload: str, max_rounds: int = 12) -> Node:
+def infer_graph(records: DataFrame, key: str, payload: str, embedded: tuple[str, ...] = (), max_rounds: int = 12) -> Node:
     """The schema graph of all records; one aggregation per level of mixed places (two for most data).
 
-    An empty table gives a graph with a root only. ``max_rounds`` bounds the nesting of mixed places, not their number.
+    A text is looked into for JSON where its name is that of a list or object elsewhere, or one of ``embedded``. An empty table gives a
+    graph with a root only. ``max_rounds`` bounds the nesting of mixed places, not their number.
     """
     base = parsed(records, key, payload)
     root = Node(ROOT)
     frontier: list[tuple[tuple[str, ...], Node]] = [((), root)]
+    opened_at: set[tuple[str, ...]] = set()
     for _ in range(max_rounds):
         wanted = []
         for n, (steps, _node) in enumerate(frontier):
@@ -169,9 +173,14 @@ def infer_graph(records: DataFrame, key: str, payload: str, max_rounds: int = 12
             steps, node = frontier[row["n"]]
             node.kinds.discard("mixed")
             _merge(node, read_schema(row["ddl"], node.label))
-        later: list[tuple[tuple[str, ...], Node]] = []
-        for steps, node in frontier:
-            _mixed(node, steps, later)
+        every = list(_walk(root, ()))
+        names = {node.label for _, node in every if node.children or node.item} | set(embedded)
+        later = [
+            (steps, node)
+            for steps, node in every
+            if "mixed" in node.kinds or node.scalar == "STRING" and node.label in names and steps and steps not in opened_at
+        ]
+        opened_at |= {steps for steps, _ in later}
         if not later:
             return root
         frontier = later
@@ -182,13 +191,13 @@ def _numbered(n: int):
     return lambda e: F.struct(F.lit(n).alias("n"), opened(e["v"]).alias("v"))
 
 
-def _mixed(node: Node, steps: tuple[str, ...], out: list) -> None:
-    if "mixed" in node.kinds:
-        out.append((steps, node))
+def _walk(node: Node, steps: tuple[str, ...]):
+    """(steps, node) of the graph, the root first."""
+    yield steps, node
     for name, child in node.children.items():
-        _mixed(child, (*steps, name), out)
+        yield from _walk(child, (*steps, name))
     if node.item:
-        _mixed(node.item, (*steps, ITEM), out)
+        yield from _walk(node.item, (*steps, ITEM))
 
 
 def plan_tables(root: Node, keyed: tuple[str, ...] = ()) -> dict[str, Table]:
@@ -316,7 +325,7 @@ def annotation_children(records: DataFrame, key: str = "rec_id", payload: str =
     Boxes and relations are named by their position; relations carry the two block positions they join, −1 where absent, null or
     not a whole number. Null payloads, payloads that are not JSON, empty tables and pages without children give no row.
     """
-    tables = plan_tables(infer_graph(records, key, payload), keyed=("checks",))
+    tables = plan_tables(infer_graph(records, key, payload, PARTS), keyed=("checks",))
     none = F.lit(-1)
 
     def page_pos(t: Table) -> Column:

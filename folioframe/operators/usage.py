@@ -56,14 +56,10 @@ def periods(log: DataFrame) -> DataFrame:
     Null providers are a provider of their own; null latencies and tokens add nothing. Rows are first summed per day, week and month on
     the map side, so a busy provider costs no more than a quiet one.
     """
-    rows = delivered_once(log).select(
-        "*", day(F.col("ts")).alias("day"), week(F.col("ts")).alias("week"), month(F.col("ts")).alias("month")
-    )
+    rows = delivered_once(log).withColumns({"day": day(F.col("ts")), "week": week(F.col("ts")), "month": month(F.col("ts"))})
     sets = [["provider", "day"], ["provider", "week"], ["provider", "month"], ["provider"]]
     cubed = rows.groupingSets([[F.col(c) for c in s] for s in sets], "provider", "day", "week", "month")
     level = F.grouping_id("provider", "day", "week", "month")
-    grain = F.when(level == 3, "day").when(level == 5, "week").when(level == 6, "month").otherwise("lifetime")
-    period = F.when(level == 3, F.col("day")).when(level == 5, F.col("week")).when(level == 6, F.col("month")).otherwise("all")
     out = cubed.agg(level.alias("level_"), *_measures())
     grain, period = (
         F.when(F.col("level_") == 3, "day").when(F.col("level_") == 5, "week").when(F.col("level_") == 6, "month").otherwise("lifetime"),
@@ -94,9 +90,8 @@ def dashboard(log: DataFrame) -> DataFrame:
     """One row per known provider, zero-filled: requests and pages of the last day in the log, the day before, its week, its month and
     all time, and the mean latency of that day. An empty log gives zeros. Unknown providers are left out."""
     spark = log.sparkSession
-    now = F.broadcast(log.agg(F.max("ts").alias("now")))
-    rows = delivered_once(log).crossJoin(now)
-    at = F.col("now")
+    rows = delivered_once(log)
+    at = F.lit(log.agg(F.max("ts")).first()[0]).cast("timestamp_ntz")
     today, yesterday = day(at), F.date_format(F.date_sub(local(at).cast("date"), 1), "yyyy-MM-dd")
     grains = {
         "today": day(F.col("ts")) == today,

@@ -153,7 +153,7 @@ def page_findings(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
 
 
 def validate(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
-    """One row per page: valid, n_errors, n_warnings, level, class_count, diverse, then a status or two counters per check.
+    """One row per page: valid, n_errors, n_warnings, level, class_count (of its blocks), diverse, then a status or two counters per check.
 
     Statuses are PASS, WARN or FAIL, N/A for a page below level 4, and null for what was not looked at.
     """
@@ -189,7 +189,7 @@ def validate(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
         number(errors).alias("n_errors"),
         (number(f) - number(errors)).alias("n_warnings"),
         F.when(looked, F.when(_level_4(), 4).otherwise(3)).otherwise(0).alias("level"),
-        F.when(looked, distinct).otherwise(0).alias("class_count"),
+        F.when(looked, n).otherwise(0).alias("class_count"),
         F.when(looked, distinct > 1).alias("diverse"),
         F.when(parts, "PASS").otherwise("FAIL").alias("required_fields"),
         status("array_lengths", parts).alias("array_lengths"),
@@ -256,7 +256,7 @@ def check_totals(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
 
 
 def best_pages(annotations: DataFrame, n: int, key: str = "ann_id", name: str = "image") -> DataFrame:
-    """The ``n`` best pages for a sample: diverse ones first, then by distinct labels, then by name and key. 0 keeps all."""
+    """The ``n`` best pages for a sample: diverse ones first, then by the number of blocks, then by name and key. 0 keeps all."""
     rows = validate(annotations, key).select(key, F.coalesce("diverse", F.lit(False)).alias("diverse"), "class_count")
     rows = rows.join(annotations.select(key, name), key)
     return rows.orderBy(F.desc("diverse"), F.desc("class_count"), name, key).limit(n) if n > 0 else rows

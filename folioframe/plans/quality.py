@@ -117,7 +117,7 @@ k AS (
 val AS (
   SELECT p.ann_id, COALESCE(k.errors, 0) = 0 AS valid, COALESCE(k.errors, 0) AS n_errors, COALESCE(k.warnings, 0) AS n_warnings,
     CASE WHEN {_LOOKED} THEN CASE WHEN p.l4 THEN 4 ELSE 3 END ELSE 0 END AS level,
-    CASE WHEN {_LOOKED} THEN CAST(len(list_distinct(block_classes)) AS INTEGER) ELSE 0 END AS class_count,
+    CASE WHEN {_LOOKED} THEN CAST(p.n AS INTEGER) ELSE 0 END AS class_count,
     CASE WHEN {_LOOKED} THEN len(list_distinct(block_classes)) > 1 END AS diverse,
     CASE WHEN p.parts THEN 'PASS' ELSE 'FAIL' END AS required_fields,
     {_STATUS("array_lengths", "p.parts")}, {_STATUS("non_empty", "p.parts")},
