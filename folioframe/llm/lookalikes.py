@@ -67,12 +67,18 @@ def form_sql(column: str, soft_hyphens: bool = False) -> str:
     wide_from, wide_to, several = compatibility_forms()
     source = SPACES + wide_from + CYRILLIC_FROM + GREEK_FROM + ARABIC_FROM + LATIN_FROM
     target = " " * len(SPACES) + wide_to + CYRILLIC_TO + GREEK_TO + ARABIC_TO + LATIN_TO
+    unseen = INVISIBLE.replace("\xad", "") if soft_hyphens else INVISIBLE
     inner = column
-    for found, plain in (*SEQUENCES, *several):
+    sequences = (*SEQUENCES, *several)
+    for found, plain in sequences:
         inner = f"replace({inner}, {_quoted(found)}, {_quoted(plain)})"
-    unseen = INVISIBLE.replace("\xad", "") if soft_hyphens else INVISIBLE
-    bare = f"nfc_normalize(regexp_replace({inner}, {_quoted(unseen)}, '', 'g'))"
-    return f"nfc_normalize(translate({bare}, {_quoted(source)}, {_quoted(target)}))"
+    any_sequence = _quoted("|".join(found for found, _ in sequences))
+    any_other = _quoted("[" + unseen[1:-1] + source + "]")
+    # Most texts need neither step; one scan for each decides.
+    joined = f"CASE WHEN regexp_matches({column}, {any_sequence}) THEN {inner} ELSE {column} END"
+    bare = f"nfc_normalize(regexp_replace({joined}, {_quoted(unseen)}, '', 'g'))"
+    full = f"nfc_normalize(translate({bare}, {_quoted(source)}, {_quoted(target)}))"
+    return f"CASE WHEN regexp_matches({column}, {any_other}) THEN {full} ELSE nfc_normalize({joined}) END"
 
 
 def _in_duckdb(select: str):
@@ -93,13 +99,25 @@ def _in_duckdb(select: str):
     return run
 
 
-def forms(texts: DataFrame, soft_hyphens: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(src, id, keep, form) of ``texts`` (src, id, text). A null text has a null form, an empty text an empty one."""
+def forms(texts: DataFrame) -> DataFrame:
+    """(src, id, form) of ``texts`` (src, id, text). A null text has a null form, an empty text an empty one."""
+    sql = f"SELECT src, id, {form_sql('text')} AS form FROM batch"
+    rows = texts.select("src", F.col("id").cast("bigint").alias("id"), "text")
+    return rows.mapInArrow(_in_duckdb(sql), "src string, id bigint, form string")
+
+
+def form_lines(texts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(src, id, keep, ls, near, n_full) of ``texts``: the lines of a text's form with its soft hyphens; the places of its first two
+    and last two non-blank lines; the number of non-blank lines."""
     rows = texts.select("src", F.col("id").cast("bigint").alias("id"), *keep, "text")
     kept = "".join(f'"{c}", ' for c in keep)
-    sql = f"SELECT src, id, {kept}{form_sql('text', soft_hyphens)} AS form FROM batch"
+    sql = f"""WITH f AS (SELECT src, id, {kept}string_split({form_sql("text", soft_hyphens=True)}, chr(10)) AS ls FROM batch),
+        g AS (SELECT *, list_filter(range(len(ls)), lambda i: regexp_matches(ls[i + 1], '\\S')) AS f FROM f)
+        SELECT src, id, {kept}ls, CAST(list_distinct(list_concat(f[:2], f[-2:])) AS INTEGER[]) AS near, f[1]::INTEGER AS first_full,
+            f[-1]::INTEGER AS last_full, f[2]::INTEGER AS second_full, CAST(len(f) AS INTEGER) AS n_full FROM g"""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
-    return rows.mapInArrow(_in_duckdb(sql), f"{kinds}, form string")
+    places = "near array<int>, first_full int, last_full int, second_full int, n_full int"
+    return rows.mapInArrow(_in_duckdb(sql), f"{kinds}, ls array<string>, {places}")
 
 
 def digests(texts: DataFrame) -> DataFrame:
