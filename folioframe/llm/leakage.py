@@ -5,7 +5,9 @@
 2. A randomised SVD of the passage matrix, distributed over the pairs: partitions send sums of small matrices only. It gives every pair a
    vector in the latent space of the passages, and every passage its own.
 3. Documents are cut into overlapping windows such that every run of ``RUN`` words lies whole in one of them. Each window is projected
-   and compared by cosine with all passages: a stated query set against all rows, in blocks, without a shuffle.
+   and compared by cosine with all passages: a stated query set against all rows, in blocks, without a shuffle. The least cosine is set
+   for every passage and window: what the weakest run of the passage would reach with ``MISREAD`` words misread at the worst places. So
+   no leak is missed in a latent space of full rank, however common the passage is in the corpus.
 4. Candidates are checked: a run of ``RUN`` consecutive passage words, of which ``MISREAD`` at most may be misread, makes a leak. For the
    rest the longest common subsequence and the presence of the answer tell a paraphrase.
 
@@ -29,9 +31,8 @@ from pyspark.sql import functions as F
 RUN, MISREAD = 12, 2
 #: Words of a window, and from one window's start to the next; WINDOW - STEP >= RUN keeps every run in one window.
 WINDOW, STEP = 36, 24
-#: Cosine from which a window is a candidate. Of 374 leaks found by brute force in 10,000 documents none has less than 0.34, so all are
-#: candidates with room to spare; the checks remove the rest.
-COSINE = 0.12
+#: Part of the least weight of a run, misread words taken off, that a window must share with the passage to be a candidate.
+SHARE = 0.98
 #: Longest rank of the latent space, extra directions of the random sketch, and sketch seed.
 RANK, EXTRA, SEED = 512, 10, 11
 #: Share of the passage that a paraphrase has in common with a window, in order.
@@ -116,6 +117,29 @@ class _Reader:
         return out[out > -2]
 
 
+def least_masses(ids: np.ndarray, weight: np.ndarray, codes: np.ndarray, size: int) -> float:
+    """The least sum of squared pair weights that a run of a passage keeps when ``MISREAD`` of its words are misread."""
+    n = len(ids)
+    if n < RUN:
+        return np.inf
+    by_gap = []
+    for gap in (1, 2):
+        at = np.searchsorted(codes, (ids[:-gap] * size + ids[gap:]) * 2 + gap - 1)
+        by_gap.append(weight[at] ** 2)
+    best = np.inf
+    places = np.arange(RUN)
+    for a in range(RUN):
+        for b in range(a + 1, RUN):
+            gone = (places == a) | (places == b)
+            kept = np.zeros(n - RUN + 1)
+            for gap, w in zip((1, 2), by_gap):
+                for k in range(RUN - gap):
+                    if not (gone[k] or gone[k + gap]):
+                        kept += w[k : k + n - RUN + 1]
+            best = min(best, kept.min())
+    return float(best)
+
+
 def _places(codes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index into ``codes``, which of ``found``) of the codes that occur."""
     if not len(codes) or not len(found):
@@ -279,7 +303,10 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     for _, k, w in rows:
         norms[k] += w * w
     passages = ((u * s) / np.sqrt(norms)[:, None]).astype(np.float32).T
+    least = SHARE * np.array([least_masses(i, weight, p.codes, len(p.vocabulary)) for i in p.ids]) / np.sqrt(norms)
     average = float((weight**2).mean())
+    lightest = float((least * np.sqrt(norms)).min())
+    most_often = max(round(w / weight[f]) for f, _, w in rows)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _Reader(p)
@@ -300,7 +327,7 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
     def _candidates(docs: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
-        """(document, window, passage, cosine) of all windows of a batch that reach ``COSINE``."""
+        """(document, window, passage, cosine) of all windows of a batch that reach the passage's least cosine."""
         owners, pairs, places, last = [], [], [], []
         for d, ids in enumerate(docs):
             last.append(max(0, -(-(len(ids) - WINDOW) // STEP)))
@@ -331,16 +358,17 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         count = np.diff(np.append(first, len(at)))
         size = np.array([min(len(docs[d]) - (i - starts[d]) * STEP, WINDOW) for d, i in zip(np.searchsorted(starts, ids, "right") - 1, ids)])
         norm = np.sqrt(mass + np.maximum(2 * size - 3 - count, 0) * average)
-        # No cosine can exceed the share of the window's mass that lies on passage pairs.
-        likely = np.sqrt(mass) / norm >= COSINE
+        # A window whose pairs weigh less than the weakest run of any passage can be no candidate. A pair counts as often as the passage has it.
+        likely = mass * most_often >= lightest
         for chunk in np.array_split(np.flatnonzero(likely), max(1, likely.sum() // 2000)):
             if not len(chunk):
                 continue
             take = np.concatenate([np.arange(first[c], first[c] + count[c]) for c in chunk])
             cuts = np.append(0, np.cumsum(count[chunk]))[:-1]
             x = np.add.reduceat(latent[pair[take]] * weight[pair[take], None].astype(np.float32), cuts, axis=0)
-            cos = (x @ passages) / norm[chunk, None]
-            for c, k in zip(*np.nonzero(cos >= COSINE)):
+            shared = x @ passages
+            cos = shared / norm[chunk, None]
+            for c, k in zip(*np.nonzero(shared >= least)):
                 i = ids[chunk[c]]
                 d = int(np.searchsorted(starts, i, "right") - 1)
                 yield d, int(i - starts[d]), int(k), float(cos[c, k])
