@@ -106,18 +106,25 @@ def forms(texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_in_duckdb(sql), "src string, id bigint, form string")
 
 
-def form_lines(texts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(src, id, keep, ls, near, n_full) of ``texts``: the lines of a text's form with its soft hyphens; the places of its first two
-    and last two non-blank lines; the number of non-blank lines."""
+def form_lines(texts: DataFrame, word: str, cut: str, goes_on: str, mark: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The lines of a text's form with its soft hyphens: (src, id, keep, ls, ws, breaks, marked, near, first_full, last_full, n_full).
+
+    ``ws`` has the words of each line (pattern ``word``), lower case; ``breaks`` tells of each line whether it matches ``cut`` and the next
+    one ``goes_on``, ``marked`` whether it matches ``mark``. ``near`` are the places of the first two and last two non-blank lines, ``n_full`` is the number of these.
+    """
     rows = texts.select("src", F.col("id").cast("bigint").alias("id"), *keep, "text")
     kept = "".join(f'"{c}", ' for c in keep)
     sql = f"""WITH f AS (SELECT src, id, {kept}string_split({form_sql("text", soft_hyphens=True)}, chr(10)) AS ls FROM batch),
         g AS (SELECT *, list_filter(range(len(ls)), lambda i: regexp_matches(ls[i + 1], '\\S')) AS f FROM f)
-        SELECT src, id, {kept}ls, CAST(list_distinct(list_concat(f[:2], f[-2:])) AS INTEGER[]) AS near, f[1]::INTEGER AS first_full,
-            f[-1]::INTEGER AS last_full, f[2]::INTEGER AS second_full, CAST(len(f) AS INTEGER) AS n_full FROM g"""
+        SELECT src, id, {kept}ls, list_transform(ls, lambda x: regexp_extract_all(lower(x), {_quoted(word)})) AS ws,
+            list_transform(range(1, len(ls) + 1), lambda i: COALESCE(
+                regexp_matches(ls[i], {_quoted(cut)}) AND regexp_matches(ls[i + 1], {_quoted(goes_on)}), FALSE)) AS breaks,
+            list_transform(ls, lambda x: regexp_matches(x, {_quoted(mark)})) AS marked,
+            CAST(list_distinct(list_concat(f[:2], f[-2:])) AS INTEGER[]) AS near, CAST(f[1] AS INTEGER) AS first_full,
+            CAST(f[-1] AS INTEGER) AS last_full, CAST(len(f) AS INTEGER) AS n_full FROM g"""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
-    places = "near array<int>, first_full int, last_full int, second_full int, n_full int"
-    return rows.mapInArrow(_in_duckdb(sql), f"{kinds}, ls array<string>, {places}")
+    lists = "ls array<string>, ws array<array<string>>, breaks array<boolean>, marked array<boolean>, near array<int>"
+    return rows.mapInArrow(_in_duckdb(sql), f"{kinds}, {lists}, first_full int, last_full int, n_full int")
 
 
 def digests(texts: DataFrame) -> DataFrame:
