@@ -100,8 +100,8 @@ class _Reader:
         self.p, self.known = p, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        joined = _JOIN.sub(r"\1", unicodedata.normalize("NFC", text or ""))
-        pieces = joined.split()
+        text = unicodedata.normalize("NFC", text or "")
+        pieces = (_JOIN.sub(r"\1", text) if "\n" in text else text).split()
         known = self.known
         try:
             ids = [known[x] for x in pieces]
@@ -305,7 +305,10 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     passages = ((u * s) / np.sqrt(norms)[:, None]).astype(np.float32).T
     least = SHARE * np.array([least_masses(i, weight, p.codes, len(p.vocabulary)) for i in p.ids]) / np.sqrt(norms)
     average = float((weight**2).mean())
-    lightest = float((least * np.sqrt(norms)).min())
+    lightest = np.full(len(p.codes), np.inf)
+    for f, k, _ in rows:
+        lightest[f] = min(lightest[f], least[k] * np.sqrt(norms[k]))
+    weighted = latent * weight[:, None].astype(np.float32)
     most_often = max(round(w / weight[f]) for f, _, w in rows)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,16 +359,18 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         w2 = weight[pair] ** 2
         mass = np.add.reduceat(w2, first)
         count = np.diff(np.append(first, len(at)))
-        size = np.array([min(len(docs[d]) - (i - starts[d]) * STEP, WINDOW) for d, i in zip(np.searchsorted(starts, ids, "right") - 1, ids)])
+        in_doc = np.searchsorted(starts, ids, "right") - 1
+        size = np.minimum(np.array([len(d) for d in docs])[in_doc] - (ids - starts[in_doc]) * STEP, WINDOW)
         norm = np.sqrt(mass + np.maximum(2 * size - 3 - count, 0) * average)
-        # A window whose pairs weigh less than the weakest run of any passage can be no candidate. A pair counts as often as the passage has it.
-        likely = mass * most_often >= lightest
+        # A window whose pairs weigh less than the weakest run of every passage that has one of them can be no candidate. A pair counts as
+        # often as the passage has it.
+        likely = mass * most_often >= np.minimum.reduceat(lightest[pair], first)
         for chunk in np.array_split(np.flatnonzero(likely), max(1, likely.sum() // 2000)):
             if not len(chunk):
                 continue
-            take = np.concatenate([np.arange(first[c], first[c] + count[c]) for c in chunk])
             cuts = np.append(0, np.cumsum(count[chunk]))[:-1]
-            x = np.add.reduceat(latent[pair[take]] * weight[pair[take], None].astype(np.float32), cuts, axis=0)
+            take = np.repeat(first[chunk] - cuts, count[chunk]) + np.arange(count[chunk].sum())
+            x = np.add.reduceat(weighted[pair[take]], cuts, axis=0)
             shared = x @ passages
             cos = shared / norm[chunk, None]
             for c, k in zip(*np.nonzero(shared >= least)):
