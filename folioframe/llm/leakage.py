@@ -38,7 +38,7 @@ RANK, EXTRA, SEED = 512, 10, 11
 #: Share of the passage that a paraphrase has in common with a window, in order.
 PARAPHRASE = 0.5
 
-_JOIN = re.compile(r"([^\W\d_])[-‐\xad¬]\s*\n\s*")
+_BREAK = re.compile(r"(\S)[-‐\xad¬]\s*\n\s*")
 
 
 def _plain(piece: str) -> str:
@@ -46,10 +46,15 @@ def _plain(piece: str) -> str:
     return "".join(ch for ch in piece.lower() if ch.isalnum() or unicodedata.category(ch)[0] == "M")
 
 
+def _joined(text: str) -> str:
+    """The text in composed form, with words broken at line ends whole again; vowel signs, viramas and joiners belong to the word."""
+    part = lambda ch: ch.isalpha() or unicodedata.category(ch)[0] == "M" or ch in "\u200c\u200d"
+    return _BREAK.sub(lambda m: m[1] if part(m[1]) else m[0], unicodedata.normalize("NFC", text))
+
+
 def words(text: str | None) -> list[str]:
     """The words of a text without case, punctuation, line breaks and hyphens at line ends."""
-    joined = _JOIN.sub(r"\1", unicodedata.normalize("NFC", text or ""))
-    return [w for w in map(_plain, joined.split()) if w]
+    return [w for w in map(_plain, _joined(text or "").split()) if w]
 
 
 @dataclass
@@ -100,8 +105,7 @@ class _Reader:
         self.p, self.known = p, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        text = unicodedata.normalize("NFC", text or "")
-        pieces = (_JOIN.sub(r"\1", text) if "\n" in text else text).split()
+        pieces = _joined(text or "").split()
         known = self.known
         try:
             ids = [known[x] for x in pieces]

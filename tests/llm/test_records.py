@@ -167,6 +167,16 @@ def test_leaks(spark):
     assert leakage.leaked(df.limit(0), items).count() == 0 and leakage.leaked(df, items.limit(0)).count() == 0
 
 
+def test_leaks_across_breaks_after_marks(spark):
+    passage = "পুরানো নিবন্ধীকরণ দপ্তরের সাংস্কৃতিক শাখা নদীর ধারে একটি বড় বাজার ও বিদ্যালয় দেখেছিল गाँव की किताब".split()
+    quote = " ".join(passage[1:13])
+    broken = quote.replace("নিবন্ধীকরণ", "নি-\nবন্ধীকরণ").replace("সাংস্কৃতিক", "সাং-\n  স্কৃতিক").replace("দপ্তরের", "দপ্\u200d-\nতরের")
+    items = spark.createDataFrame([(1, "s", " ".join(passage), None)], "item_id long, suite string, passage string, answer string")
+    df = spark.createDataFrame([(1, quote), (2, broken), (3, broken.replace("-\n", " "))], "doc_id long, text string")
+    assert {tuple(x) for x in leakage.leaked(df, items).collect()} == {(1, 1), (2, 1)}
+    assert leakage.words("कि-\nताब क्-\nषेत्र") == ["किताब", "क्षेत्र"] and leakage.words("12-\nबाज़ार —-\nend") == ["12", "बाज़ार".replace("ज़", "ज़"), "end"]
+
+
 def test_latent_space_is_an_svd(spark):
     matrix = np.random.default_rng(1).random((6, 15)) * (np.random.default_rng(2).random((6, 15)) > 0.5)
     rows = [(j, [int(i) for i in np.flatnonzero(matrix[:, j])], [float(x) for x in matrix[:, j][matrix[:, j] != 0]]) for j in range(15)]
