@@ -101,6 +101,16 @@ def test_noise_by_kind(spark):
     assert "The documentation of the market and the well-preserved market." in text and "REGISTRY" not in text
 
 
+def test_headings_that_recur_far_away_are_no_titles(spark):
+    body = "The documentation of the market was found\nbeside the documentation of the market."
+    first = {n: "Registry of Markets" for n in (*range(1, 9), *range(5001, 5009))}
+    first |= {4: "Old Clay Roads", 5004: "Old Clay Roads"}  # a heading, twice by chance
+    first |= {6: "Village Letters", 5005: "Village Letters", 5007: "Village Letters"}  # a title that mostly recurs near
+    found, _, _ = noise(spark, [(10_000 + n, n, f"{t}\n{body}\n{body}\nand so on.") for n, t in first.items()])
+    headers = {row - 10_000 for _, row, line, kind in found if kind == "header" and line == 0}
+    assert headers == set(first) - {4, 5004}
+
+
 def test_noise_of_nothing(spark):
     found, p, b = noise(spark, [(1, 1, None)])
     assert found == set() and scannoise.paragraphs(p.limit(0), b).count() == 0
