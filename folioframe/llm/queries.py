@@ -53,13 +53,22 @@ def p6_languages(spark: SparkSession, folder: str) -> DataFrame:
     return languages.languages(table(spark, folder, "vision_results"), table(spark, folder, "page_annotations"))
 
 
-def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    records = (
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    """Blocks, page annotations and raw annotations as records."""
+    return (
         duplicates.block_records(table(spark, folder, "blocks"))
         .unionByName(duplicates.page_records(table(spark, folder, "page_annotations")))
         .unionByName(duplicates.json_records(table(spark, folder, "annotation_records")))
     )
-    return duplicates.collapse(records)
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return duplicates.collapse(_records(spark, folder))
+
+
+def p7_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of copies of every kept block, page annotation and readable raw annotation."""
+    return duplicates.copies(_records(spark, folder))
 
 
 def p7_block_copies(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": p6_found,
     "p6_languages": p6_languages,
     "p7_found": p7_found,
+    "p7_copies": p7_copies,
     "p7_block_copies": p7_block_copies,
     "p8_containers": p8_containers,
     "p8_fill": p8_fill,

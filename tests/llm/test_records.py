@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from folioframe.llm import duplicates, leakage, packing, rankcompactors, reading
+from folioframe.llm import duplicates, leakage, packing, queries, rankcompactors, reading
 
 # duplicates -----------------------------------------------------------------------------------------------------------------
 
@@ -43,6 +43,15 @@ def test_json(spark):
     assert [tuple(r) for r in duplicates.collapse(duplicates.json_records(df)).collect()] == [("record", 1, 2)]
 
 
+def test_copies_of_all_kinds(spark, tmp_path):
+    spark.createDataFrame([(k, 1, 0, [1, 2], "Old Rope", "Text", False, 0) for k in (3, 4)], "block_id long, page_id long, idx int, box array<int>, text string, class_label string, is_picture boolean, reading_order_index int").write.parquet(f"{tmp_path}/blocks.parquet")
+    notes = "ann_id long, page_id long, image string, block_boxes array<array<int>>, block_classes array<string>, block_text array<string>, reading_order array<int>, block_relations array<struct<source:int,target:int,relation:string>>, annotation_quality string, lang string"
+    spark.createDataFrame([(k, 1, "i", None, ["Text"], [t], [0], None, None, "en") for k, t in ((5, "Old Rope"), (6, "old  rope."), (7, "new"))], notes).write.parquet(f"{tmp_path}/page_annotations.parquet")
+    spark.createDataFrame([(8, '{"a": 1, "b": "x"}'), (9, '{"b": "X.", "a": 1}'), (9, '{"b": "X.", "a": 1}'), (10, "{bad")], "rec_id long, payload string").write.parquet(f"{tmp_path}/annotation_records.parquet")
+    out = [tuple(r) for r in queries.QUERIES["p7_copies"](spark, str(tmp_path)).collect()]
+    assert sorted(out) == [("block", 3, 2), ("page", 5, 2), ("page", 7, 1), ("record", 8, 2)]
+
+
 def test_a_hot_group(spark):
     df = spark.range(6000).selectExpr("'b' as src", "id", "array(named_struct('field','t','value',if(id % 3 = 0, 'same', cast(id as string)),'fold',true)) as pairs")
     out = duplicates.collapse(df)
