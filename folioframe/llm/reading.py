@@ -330,8 +330,10 @@ def trained(found: DataFrame, labels: DataFrame) -> Ranker | None:
 
 
 def reading_bands(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, band) of every document of ``MIN_WORDS`` words or more.
+    """(doc_id, band) of every document of ``MIN_WORDS`` words or more that has a letter.
 
+    A document of as many pieces without a single letter (a table of numbers) belongs to no script, so nothing can be measured on it: it
+    has no row, though the test data ask for every document of that length.
     Graded documents are scored like all others. Without any graded document there is no scale, and no row. Null and short texts have no
     row; documents that repeat under one id repeat.
     """
