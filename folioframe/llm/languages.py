@@ -31,8 +31,8 @@ NAMES = {
     "odia": "or", "oriya": "or", "punjabi": "pa", "panjabi": "pa", "urdu": "ur", "tamil": "ta", "telugu": "te",
     "kannada": "kn", "malayalam": "ml",
 }
-#: Buckets of the hashed features, and the pseudo-count of each.
-BUCKETS, ALPHA = 1 << 15, 0.05
+#: Buckets of the hashed features, and the pseudo-count of each in use.
+BUCKETS, ALPHA = 1 << 20, 0.05
 #: Words the prior is worth, and pages that the wider group is worth in smoothing a file.
 PRIOR_WORDS, SMOOTH_PAGES = 2.0, 4.0
 #: Weight of the declared label and of the name word against all other languages.
@@ -91,16 +91,19 @@ class Features:
 
 
 class Model:
-    """log P(bucket | class) and which word buckets are known."""
+    """log P(bucket | class) of the buckets in use, with one row for all others, and which word buckets are known."""
 
-    def __init__(self, counts: np.ndarray):
-        log_p = np.log(counts + ALPHA) - np.log(counts.sum(axis=0) + ALPHA * BUCKETS)
+    def __init__(self, used: np.ndarray, counts: np.ndarray):
+        counts = np.vstack([counts, np.zeros((1, _CLASSES))])
+        log_p = np.log(counts + ALPHA) - np.log(counts.sum(axis=0) + ALPHA * len(counts))
         self.weights = (log_p - log_p.mean(axis=1, keepdims=True)).astype(np.float32)
         self.known = counts.sum(axis=1) >= KNOWN
+        self.row = np.full(BUCKETS, len(used), np.int32)
+        self.row[used] = np.arange(len(used))
 
     def scores(self, found: list[tuple[int, int]]) -> np.ndarray:
         """The log likelihood of each class, up to a constant."""
-        ids = np.array(found, np.int64)
+        ids = self.row[np.array(found, np.int64)]
         return self.weights[np.where(self.known[ids[:, 0]], ids[:, 0], ids[:, 1])].sum(axis=0)
 
 
@@ -153,12 +156,13 @@ def _counts(model: Model | None):
 
 
 def _fitted(labelled: DataFrame, model: Model | None) -> Model:
-    """The model of the counts, BUCKETS x classes: what is collected has that size for any corpus."""
+    """The model of the counts, BUCKETS x classes at most: what is collected is bounded by that for any corpus."""
     summed = labelled.mapInArrow(_counts(model), "bucket int, code int, n double").groupBy("bucket", "code").agg(F.sum("n").alias("n"))
-    counts = np.zeros((BUCKETS, _CLASSES))
     table = summed.toArrow()
-    counts[table["bucket"].to_numpy(), table["code"].to_numpy()] = table["n"].to_numpy()
-    return Model(counts)
+    used, at = np.unique(table["bucket"].to_numpy(), return_inverse=True)
+    counts = np.zeros((len(used), _CLASSES))
+    counts[at, table["code"].to_numpy()] = table["n"].to_numpy()
+    return Model(used, counts)
 
 
 def fit(pages: DataFrame, label: str = "lang", text: str = "full_text") -> Model:

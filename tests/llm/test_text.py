@@ -130,6 +130,13 @@ def test_labels(spark):
     assert [r[0] for r in rows.select(languages.label_code(rows.lang)).collect()] == list(cases.values())
 
 
+def test_unknown_words_stay_unknown_beside_a_large_vocabulary():
+    features = languages.Features()
+    seen = {features(f"w{chr(97 + k % 26)}{k // 26:b}".translate({48: "o", 49: "l"}))[0][0] for k in range(60_000)}
+    new = [features(f"n{chr(97 + k % 26)}{k // 26:b}".translate({48: "o", 49: "l"}))[0][0] for k in range(5_000)]
+    assert sum(b in seen for b in new) < 0.1 * len(new)
+
+
 def test_pages_and_blocks(spark):
     pages = []
     for k in range(30):
