@@ -8,8 +8,9 @@
    and compared by cosine with all passages: a stated query set against all rows, in blocks, without a shuffle. The least cosine is set
    for every passage and window: what the weakest run of the passage would reach with ``MISREAD`` words misread at the worst places. So
    no leak is missed in a latent space of full rank, however common the passage is in the corpus.
-4. Candidates are checked: a run of ``RUN`` consecutive passage words, of which ``MISREAD`` at most may be misread, makes a leak. For the
-   rest the longest common subsequence and the presence of the answer tell a paraphrase.
+4. Candidates are checked: a run of ``RUN`` consecutive passage words, of which ``MISREAD`` at most may be misread, makes a leak.
+5. Paraphrases have candidates of their own: stretches as long as the passage with as many of its word pairs as any rewording in place
+   keeps that leaves ``PARAPHRASE`` of the words. The longest common subsequence and the presence of the answer tell them.
 
 The held-out set is small and stated (it does not grow with the corpus); its pairs and vectors go to every task.
 """
@@ -35,7 +36,7 @@ WINDOW, STEP = 36, 24
 SHARE = 0.98
 #: Longest rank of the latent space, extra directions of the random sketch, and sketch seed.
 RANK, EXTRA, SEED = 512, 10, 11
-#: Share of the passage that a paraphrase has in common with a window, in order.
+#: Share of the passage that a paraphrase has in common with a stretch as long as the passage (a window at least), in order.
 PARAPHRASE = 0.5
 
 _BREAK = re.compile(r"(\S)[-‐\xad¬]\s*\n\s*")
@@ -273,15 +274,39 @@ def common_length(passage: np.ndarray, window: np.ndarray) -> int:
     return len(passage) - row.bit_count()
 
 
+def least_pairs(n: int) -> int:
+    """The fewest places where a passage of ``n`` words keeps a pair of neighbours or next neighbours when words are replaced in place and
+    ``PARAPHRASE`` of them stay: of the steps from one word that stays to the next, those of three words or more are limited by ``n``."""
+    m = int(np.ceil(PARAPHRASE * n))
+    return max(1, -((n + 2 - 3 * m) // 2))
+
+
+def longest_common(passage: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> int:
+    """The longest common subsequence of a passage and the stretches of a document at sorted ``starts``; exact from ``PARAPHRASE`` of the
+    passage on. One word further a stretch has at most one word more in common, so starts that can't reach the goal are passed over."""
+    size = max(len(passage), WINDOW)
+    before = np.append(0, np.cumsum(np.isin(ids, passage)))
+    shared = before[np.minimum(starts + size, len(ids))] - before[starts]
+    goal, best, after = int(np.ceil(PARAPHRASE * len(passage))), 0, -1
+    for q, most in zip(starts.tolist(), shared.tolist()):
+        if q < after or most < max(goal, best + 1):
+            continue
+        common = common_length(passage, ids[q : q + size])
+        best = max(best, common)
+        after = q + max(goal, best + 1) - common
+    return best
+
+
 def _contains(words_: list[str], part: list[str]) -> bool:
     return bool(part) and any(words_[k : k + len(part)] == part for k in range(len(words_) - len(part) + 1))
 
 
-def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", reworded: bool = False) -> DataFrame:
     """(doc_id, item_id, cosine, run, common, answer) of every document and passage with a candidate window.
 
-    ``run``: a run of ``RUN`` passage words was found; ``common``: the largest share of the passage's words that one window has in order;
-    ``answer``: the item's answer (if it has one) stands in the document. Null texts, passages without words, and an empty table on
+    ``run``: a run of ``RUN`` passage words was found; ``common``: the largest share of the passage's words that one window has in order or,
+    with ``reworded``, one stretch as long as the passage, which adds the candidates of paraphrases (``cosine`` is null where there is no
+    other); ``answer``: the item's answer (if it has one) stands in the document. Null texts, passages without words, and an empty table on
     either side give no row. Passages shorter than ``RUN`` words have no runs.
     """
     schema = "doc_id bigint, item_id bigint, cosine double, run boolean, common double, answer boolean"
@@ -314,6 +339,11 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         lightest[f] = min(lightest[f], least[k] * np.sqrt(norms[k]))
     weighted = latent * weight[:, None].astype(np.float32)
     most_often = max(round(w / weight[f]) for f, _, w in rows)
+    by_pair = sorted((f, k) for f, k, _ in rows)
+    owned = np.array([k for _, k in by_pair], np.int64)
+    heads = np.searchsorted([f for f, _ in by_pair], np.arange(len(p.codes) + 1))
+    sizes = np.array([max(len(i), WINDOW) for i in p.ids])
+    fewest = np.array([least_pairs(len(i)) for i in p.ids])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _Reader(p)
@@ -321,29 +351,39 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             texts = batch.column(1).to_pylist()
             docs = [read(t) for t in texts]
             found: dict[tuple[int, int], list] = {}
-            for d, w, k, cosine in _candidates(docs):
+            spots = [_spots(ids) for ids in docs]
+            for d, w, k, cosine in _candidates(docs, spots):
                 entry = found.setdefault((d, k), [0.0, set()])
                 entry[0] = max(entry[0], cosine)
                 entry[1].add(w)
+            lengths = np.array([len(d) for d in docs], np.int64)
+            starts = {(d, k): at for d, k, at in _reworded(spots, lengths)} if reworded and docs else {}
             out = []
-            for (d, k), (cosine, windows) in found.items():
-                out.append((batch.column(0)[d].as_py(), int(p.items[k]), cosine, *_checked(docs[d], texts[d], k, windows)))
+            for d, k in dict.fromkeys([*found, *starts]):
+                cosine, windows = found.get((d, k), (None, ()))
+                checked = _checked(docs[d], texts[d], k, windows, starts.get((d, k), ()))
+                out.append((batch.column(0)[d].as_py(), int(p.items[k]), cosine, *checked))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.float64(), pa.bool_()]
             names = ["doc_id", "item_id", "cosine", "run", "common", "answer"]
             columns = list(zip(*out)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    def _candidates(docs: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
+    def _spots(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair, place) of the passages' pairs in a document."""
+        if len(ids) < 2:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        codes, at = pair_codes(ids, len(p.vocabulary))
+        f, hit = _places(p.codes, codes)
+        return f, at[hit]
+
+    def _candidates(docs: list[np.ndarray], spots: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int, float]]:
         """(document, window, passage, cosine) of all windows of a batch that reach the passage's least cosine."""
         owners, pairs, places, last = [], [], [], []
         for d, ids in enumerate(docs):
             last.append(max(0, -(-(len(ids) - WINDOW) // STEP)))
-            if len(ids) < 2:
-                continue
-            codes, at = pair_codes(ids, len(p.vocabulary))
-            f, hit = _places(p.codes, codes)
+            f, place = spots[d]
             pairs.append(f)
-            places.append(at[hit])
+            places.append(place)
             owners.append(np.full(len(f), d))
         if not pairs or not sum(map(len, pairs)):
             return
@@ -382,7 +422,34 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                 d = int(np.searchsorted(starts, i, "right") - 1)
                 yield d, int(i - starts[d]), int(k), float(cos[c, k])
 
-    def _checked(ids: np.ndarray, text_: str, k: int, windows: set[int]) -> tuple[bool, float, bool]:
+    def _reworded(spots: list[tuple[np.ndarray, np.ndarray]], lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(document, passage, starts) of the stretches of documents that have the fewest pairs of a paraphrase."""
+        wide = int(lengths.max()) + int(sizes.max())
+        for low_d in range(0, len(spots), 200):
+            part = spots[low_d : low_d + 200]
+            f = np.concatenate([x for x, _ in part])
+            owner = np.repeat(np.arange(low_d, low_d + len(part)), [len(x) for x, _ in part])
+            times = heads[f + 1] - heads[f]
+            item = owned[np.repeat(heads[f] - np.append(0, np.cumsum(times))[:-1], times) + np.arange(times.sum())]
+            group = np.repeat((owner - low_d) * n, times) + item
+            often = np.bincount(group, minlength=len(part) * n)[group] >= fewest[item]
+            both = np.unique(group[often] * wide + np.repeat(np.concatenate([x for _, x in part]), times)[often])
+            group = both // wide
+            last = np.arange(len(both)) + fewest[group % n] - 1
+            first = np.flatnonzero(last < len(both))
+            first = first[both[last[first]] - both[first] < sizes[group[first] % n]]
+            if not len(first):
+                continue
+            for mine in np.split(first, np.flatnonzero(np.diff(group[first])) + 1):
+                g = int(group[mine[0]])
+                d, k = low_d + g // n, g % n
+                low, high = both[last[mine]] - g * wide + 2 - sizes[k], both[mine] - g * wide
+                cover = np.zeros(int(lengths[d]) + 1, np.int64)
+                np.add.at(cover, np.maximum(low, 0), 1)
+                np.add.at(cover, high + 1, -1)
+                yield d, k, np.flatnonzero(np.cumsum(cover) > 0)
+
+    def _checked(ids: np.ndarray, text_: str, k: int, windows, starts) -> tuple[bool, float, bool]:
         spelt: list[list[str]] = []
 
         def all_words() -> list[str]:
@@ -395,7 +462,11 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             a, b = w * STEP, w * STEP + WINDOW
             part = ids[a:b]
             run = run or has_run(p.ids[k], part, p.tokens[k], lambda a=a, b=b: all_words()[a:b])
-            common = max(common, common_length(p.ids[k], part))
+            if not reworded:
+                common = max(common, common_length(p.ids[k], part))
+        if reworded and not run:
+            near = [np.arange(max(0, w * STEP + WINDOW - sizes[k]), w * STEP + 1) for w in windows]
+            common = longest_common(p.ids[k], ids, np.unique(np.concatenate([np.asarray(starts, np.int64), *near])))
         share = common / len(p.ids[k])
         answer = (run or share >= PARAPHRASE) and _contains(all_words(), p.answers[k])
         return run, share, bool(answer)
@@ -410,7 +481,7 @@ def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def reports(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(item_id, suite, n_documents, n_paraphrases): how many documents hold each item's passage in runs, or reworded with its answer."""
-    found = leaks(documents, items).where(f"run or (common >= {PARAPHRASE} and answer)").distinct()
+    found = leaks(documents, items, reworded=True).where(f"run or (common >= {PARAPHRASE} and answer)").distinct()
     per = found.groupBy("item_id").agg(
         F.countDistinct(F.when(F.col("run"), F.col("doc_id"))).alias("n_documents"),
         F.countDistinct(F.when(~F.col("run"), F.col("doc_id"))).alias("n_paraphrases"),

@@ -186,6 +186,18 @@ def test_leaks_across_breaks_after_marks(spark):
     assert leakage.words("कि-\nताब क्-\nषेत्र") == ["किताब", "क्षेत्र"] and leakage.words("12-\nबाज़ार —-\nend") == ["12", "बाज़ार".replace("ज़", "ज़"), "end"]
 
 
+def test_paraphrases_as_long_as_the_passage(spark):
+    r = random.Random(11)
+    long, middle = sentence(80, r), sentence(50, r)
+    items = spark.createDataFrame([(k, "s", " ".join(p), p[0]) for k, p in ((1, long), (2, middle))], "item_id long, suite string, passage string, answer string")
+    half = lambda p: " ".join(w if k % 4 < 2 else f"other{k}" for k, w in enumerate(p))
+    less = " ".join(w if k % 4 < 2 and k < 60 else f"other{k}" for k, w in enumerate(long))
+    before = " ".join(f"before{k}" for k in range(29))
+    df = spark.createDataFrame([(1, f"{before} {half(long)}"), (2, f"{before} {half(middle)} {before}"), (3, less)], "doc_id long, text string")
+    assert {x.item_id: (x.n_documents, x.n_paraphrases) for x in leakage.reports(df, items).collect()} == {1: (0, 1), 2: (0, 1)}
+    assert leakage.leaked(df, items).count() == 0 and [leakage.least_pairs(k) for k in (12, 42, 80)] == [2, 10, 19]
+
+
 def test_latent_space_is_an_svd(spark):
     matrix = np.random.default_rng(1).random((6, 15)) * (np.random.default_rng(2).random((6, 15)) > 0.5)
     rows = [(j, [int(i) for i in np.flatnonzero(matrix[:, j])], [float(x) for x in matrix[:, j][matrix[:, j] != 0]]) for j in range(15)]
