@@ -58,6 +58,39 @@ def compatibility_forms() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(one_from), "".join(one_to), several
 
 
+def not_composed() -> str:
+    """A pattern, by rule from the Unicode data, that every text matches which NFC would change; others need no normalising.
+
+    It has the characters NFC replaces, marks that may have to move, and neighbours that have a composed form.
+    """
+    classes: dict[int, set[str]] = {}
+    changed, pairs = [], {}
+    for code in (*range(0x80, 0xD800), *range(0xF900, 0x11E00), *range(0x1D100, 0x1D200), *range(0x2F800, 0x2FA20)):
+        ch = chr(code)
+        parts = unicodedata.decomposition(ch).split()
+        rank = unicodedata.combining(ch)
+        classes.setdefault(rank, set()).add(ch)
+        if 0x1161 <= code < 0x11C3 or rank not in (0, 7, 9) or unicodedata.normalize("NFC", ch) != ch:
+            changed.append(ch)
+        elif len(parts) == 2 and not parts[0].startswith("<"):
+            first, second = (chr(int(x, 16)) for x in parts)
+            pairs.setdefault(second, set()).add(first)
+    some = lambda chars: "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _stretches(chars)) + "]"
+    of_two = [some(firsts) + some({second}) for second, firsts in sorted(pairs.items()) if second not in changed]
+    return "|".join([some(changed), some(classes[9]) + some(classes[7]), *of_two])
+
+
+def _stretches(chars) -> list[tuple[int, int]]:
+    """First and last codes of the runs of neighbouring characters."""
+    out: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if out and code == out[-1][1] + 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return [(a, b) for a, b in out]
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -74,11 +107,12 @@ def form_sql(column: str, soft_hyphens: bool = False) -> str:
         inner = f"replace({inner}, {_quoted(found)}, {_quoted(plain)})"
     any_sequence = _quoted("|".join(found for found, _ in sequences))
     any_other = _quoted("[" + unseen[1:-1] + source + "]")
-    # Most texts need neither step; one scan for each decides.
+    # Most texts need none of the steps; one scan for each decides.
     joined = f"CASE WHEN regexp_matches({column}, {any_sequence}) THEN {inner} ELSE {column} END"
     bare = f"nfc_normalize(regexp_replace({joined}, {_quoted(unseen)}, '', 'g'))"
     full = f"nfc_normalize(translate({bare}, {_quoted(source)}, {_quoted(target)}))"
-    return f"CASE WHEN regexp_matches({column}, {any_other}) THEN {full} ELSE nfc_normalize({joined}) END"
+    plain = f"CASE WHEN regexp_matches({joined}, {_quoted(not_composed())}) THEN nfc_normalize({joined}) ELSE {joined} END"
+    return f"CASE WHEN regexp_matches({column}, {any_other}) THEN {full} ELSE {plain} END"
 
 
 def _in_duckdb(select: str):
@@ -106,27 +140,6 @@ def forms(texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_in_duckdb(sql), "src string, id bigint, form string")
 
 
-def form_lines(texts: DataFrame, word: str, cut: str, goes_on: str, mark: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The lines of a text's form with its soft hyphens: (src, id, keep, ls, ws, breaks, marked, near, first_full, last_full, n_full).
-
-    ``ws`` has the words of each line (pattern ``word``), lower case; ``breaks`` tells of each line whether it matches ``cut`` and the next
-    one ``goes_on``, ``marked`` whether it matches ``mark``. ``near`` are the places of the first two and last two non-blank lines, ``n_full`` is the number of these.
-    """
-    rows = texts.select("src", F.col("id").cast("bigint").alias("id"), *keep, "text")
-    kept = "".join(f'"{c}", ' for c in keep)
-    sql = f"""WITH f AS (SELECT src, id, {kept}string_split({form_sql("text", soft_hyphens=True)}, chr(10)) AS ls FROM batch),
-        g AS (SELECT *, list_filter(range(len(ls)), lambda i: regexp_matches(ls[i + 1], '\\S')) AS f FROM f)
-        SELECT src, id, {kept}ls, list_transform(ls, lambda x: regexp_extract_all(lower(x), {_quoted(word)})) AS ws,
-            list_transform(range(1, len(ls) + 1), lambda i: COALESCE(
-                regexp_matches(ls[i], {_quoted(cut)}) AND regexp_matches(ls[i + 1], {_quoted(goes_on)}), FALSE)) AS breaks,
-            list_transform(ls, lambda x: regexp_matches(x, {_quoted(mark)})) AS marked,
-            CAST(list_distinct(list_concat(f[:2], f[-2:])) AS INTEGER[]) AS near, CAST(f[1] AS INTEGER) AS first_full,
-            CAST(f[-1] AS INTEGER) AS last_full, CAST(len(f) AS INTEGER) AS n_full FROM g"""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
-    lists = "ls array<string>, ws array<array<string>>, breaks array<boolean>, marked array<boolean>, near array<int>"
-    return rows.mapInArrow(_in_duckdb(sql), f"{kinds}, {lists}, first_full int, last_full int, n_full int")
-
-
 def digests(texts: DataFrame) -> DataFrame:
     """(src, id, form, raw): 128-bit digests of a text's form and of the text as it stands; null texts are left out."""
     sql = f"SELECT src, id, md5({form_sql('text')}) AS form, md5(text) AS raw FROM batch"
