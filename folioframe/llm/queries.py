@@ -19,6 +19,12 @@ def p2_rates(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.rates(table(spark, folder, "provider_results"), "result_id", "raw_text", ["provider", "model"])
 
 
+def p2_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """How many replies each kind of evidence decides."""
+    found = truncation.rules(table(spark, folder, "provider_results"))
+    return found.groupBy("rule").agg(F.count(F.lit(1)).alias("n_replies"))
+
+
 DAILY = ["metric", "provider", "file", "day"]
 
 
@@ -123,6 +129,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_rates": p2_rates,
+    "p2_rules": p2_rules,
     "p3_percentiles": p3_percentiles,
     "p3_providers": p3_providers,
     "p4_found": p4_found,

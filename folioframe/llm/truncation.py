@@ -1,21 +1,26 @@
-"""Texts that lost their end: open JSON, and values whose last word is an unknown proper prefix of known words.
+"""Texts that lost their end: values whose last word is an unknown proper prefix of known words, with evidence of length and structure.
 
-``known_words`` is the corpus vocabulary: words counted inside values, never at their end, so cut words don't enter it.
-``trie`` is the vocabulary trie as a table, one row per inner node (proper prefix of a known word). A value is cut when it ends
-without closing mark and
+One pass of DuckDB inside Arrow partitions reads the replies: the words counted per batch, the ends of values that may be cut, and how many
+values have which length. Two vocabulary tries, kept as tables with one row per node that some end reaches, judge the ends:
 
-* its last word is not known but is a node of the trie, and the value is a running text of ``MIN_WORDS`` words or more, or
-* it is exactly as long as a length limit. A length is a limit when values cut by the first rule pile up at it, or
-* it is a whole reply of plain text that closes its other sentences.
+* the words of all values, counted before the last word of their value, so cut words don't enter. An end is a fragment when its last word
+  is a node of the trie and rarer as a word than as an end;
+* the pieces of the skeletons of whole JSON replies (strings, numbers and spaces set aside). A reply whose brackets or quotes stay open is
+  looked up with what follows its last bracket: a proper prefix of known pieces.
 
-A reply in JSON is cut when a string or bracket stays open; malformed but balanced JSON is whole.
+The tries' evidence is summed with that of length (a length at which fragments pile up is a limit) and of marks, each with its weight; a
+value is cut from ``ENOUGH`` on. Open brackets or a missing full stop alone are never enough.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioframe.llm.lookalikes import _quoted
 from folioframe.operators.skew import heavy_join
 from folioframe.session import stored
 
@@ -23,113 +28,180 @@ from folioframe.session import stored
 MIN_COUNT = 3
 #: Values of fewer words may be titles, which have no closing mark.
 MIN_WORDS = 5
-#: A length is a limit when this many values that end in a cut word have it, and this share of all values of that length.
-LIMIT_COUNT, LIMIT_SHARE = 3, 0.2
-
-_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+#: A length is a limit when this many values that end in a fragment have it, more than all lengths within ``LIMIT_NEAR`` of it together, and
+#: this share of all values of that length.
+LIMIT_COUNT, LIMIT_NEAR, LIMIT_SHARE = 3, 20, 0.2
+#: A known word that stands inside values so many times as often as it ends one unclosed is not where values end.
+INNER = 16
+#: What each piece of evidence weighs, and the sum from which a value is cut.
+WEIGHTS = {"fragment": 3, "piece": 3, "at_limit": 3, "open": 2, "note": 2, "inner": 1, "unclosed": 1, "running": 1, "closes": 1}
+ENOUGH = 3
+
+_LITERAL = r'(?s)"[^"\\]*(?:\\.[^"\\]*)*"'
 _WORD = r"[\p{L}\p{M}\p{N}'\x{200c}\x{200d}-]+"
-_LAST = r"([\p{L}\p{M}\p{N}'\x{200c}\x{200d}-]+)$"
 # Marks that close a sentence, and notes that say text is missing.
 _CLOSED = r"[.!?\x{0964}\x{0965}\x{06d4}\x{061f}][\"'\x{201d}\x{2019})\]]*$"
 _CUT_NOTE = r"(?i)(\[cut\]|\[truncated\]|\x{fffd})\s*$"
 #: Notes, page numbers and dots after the end of the text proper.
 _TRAILER = (
-    r"(?:\s*\[[^\]\n]*\]|\s*\([^)\n]*\)|\n\s*[\p{Pd}\[(]*\s*\p{N}+\s*[\p{Pd}\])]*|\s+(?:\.\.\.|\x{2026})|\x{2026}|\s*`{3,})\s*$"
+    r"(?:\s*\[[^\]\n]*\]|\s*\([^)\n]*\)|\n\s*[\p{Pd}\[(]*\s*\p{N}+\s*[\p{Pd}\])]*|\s+(?:\.\.\.|\x{2026})|\x{2026}|\x{fffd}+|\s*`{3,})\s*$"
 )
-
-
-def _without_trailer(text: Column) -> Column:
-    once = F.regexp_replace(F.rtrim(text), _TRAILER, "")
-    return F.regexp_replace(F.regexp_replace(once, _TRAILER, ""), r"\s+$", "")
-
-
-def items(replies: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, whole, open, chars, value): the plain replies (``whole``) and the string values of JSON replies.
-
-    ``open`` tells that the reply itself was cut. Null and blank replies have no items.
-    """
-    t = F.col(text)
-    start = F.regexp_instr(t, F.lit(r"[{\[]\s*[\"{\[\]}]"))
-    body = F.substr(t, F.when(start > 0, start).otherwise(F.lit(1)))
-    bare = F.regexp_replace(body, _LITERAL, "")
-    count = lambda c: F.length(bare) - F.length(F.translate(bare, c, ""))
-    is_json = start > 0
-    opened = is_json & (bare.contains('"') | (count("{[") > count("}]")))
-    literals = F.regexp_extract_all(body, F.lit(_LITERAL), F.lit(0))
-    decoded = F.transform(
-        literals,
-        lambda x: F.when(x.contains("\\"), F.coalesce(F.get_json_object(F.concat(F.lit('{"a":'), x, F.lit("}")), "$.a"), x)).otherwise(
-            F.substring(x, 2, 1_000_000_000).substr(F.lit(1), F.length(x) - 2)
+#: Stands for a string in the skeleton of a reply.
+_TEXT = "\x01"
+
+#: What the pass over the replies gives, in rows of several kinds (``part``): ``end`` (ends of values), ``word``, ``piece`` (known pieces of
+#: skeletons) and ``size`` (lengths of replies and values), the last three with their number in the batch.
+COLUMNS = {
+    "part": "string", "id": "bigint", "kind": "string", "chars": "int", "last": "string", "tail": "string", "word": "string", "n": "bigint",
+    "note": "boolean", "unclosed": "boolean", "running": "boolean", "closes": "boolean",
+}
+
+
+def _part(name: str, rest: str, **columns: str) -> str:
+    kinds = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
+    given = {"part": _quoted(name)} | columns
+    return "SELECT " + ", ".join(f"CAST({given.get(c, 'NULL')} AS {kinds[k]}) AS {c}" for c, k in COLUMNS.items()) + f" FROM {rest}"
+
+
+def _reading_sql() -> tuple[list[str], list[str]]:
+    """The statements that make tables ``r`` (replies) and ``v`` (values) of a batch, and those that read the kinds of rows off them."""
+    trailer = _quoted(_TRAILER)
+    bare = lambda x: f"rtrim(regexp_replace(regexp_replace(rtrim({x}, chr(10) || chr(13) || chr(9) || ' '), {trailer}, ''), {trailer}, ''), chr(10) || chr(13) || chr(9) || ' ')"
+    count = lambda c: f"length(bare) - length(translate(bare, '{c}', ''))"
+    literal = _quoted(_LITERAL)
+    replies = f"""CREATE OR REPLACE TEMP TABLE r AS
+        SELECT *, body <> '' AND (contains(bare, '"') OR {count("{[")} > {count("}]")}) AS open,
+            regexp_replace(regexp_replace(regexp_replace(regexp_replace(bare, '(?s)".*$', '"'), {trailer}, ''), '\\s+', '', 'g'), '[0-9.]+|true|false|null', '0', 'g') AS skeleton
+        FROM (SELECT *, regexp_replace(body, {literal}, '{_TEXT}', 'g') AS bare
+            FROM (SELECT *, regexp_extract(text, '(?s)[{{\\[]\\s*["{{\\[\\]}}].*', 0) AS body FROM batch WHERE regexp_matches(text, '\\S')))"""
+    decoded = f"""list_transform(regexp_extract_all(body, {literal}), lambda x: CASE WHEN contains(x, '\\')
+        THEN CASE WHEN json_valid(x) THEN json_extract_string(x, '$') ELSE x END ELSE substring(x, 2, length(x) - 2) END)"""
+    values = f"""CREATE OR REPLACE TEMP TABLE v AS SELECT *, regexp_extract_all(value, '{_WORD.replace("'", "''")}') AS ws,
+            NOT regexp_matches(value, {_quoted(_CLOSED)}) AS unclosed FROM (
+        SELECT id, 'value' AS kind, length(x) AS chars, rtrim(x) AS value, FALSE AS note, NULL AS tail FROM (SELECT id, unnest({decoded}) AS x FROM r WHERE body <> '')
+        UNION ALL SELECT id, 'plain', length(text), {bare("text")}, regexp_matches(text, {_quoted(_CUT_NOTE)}), NULL FROM r WHERE body = ''
+        UNION ALL SELECT id, 'open', length(text), CASE WHEN contains(bare, '"') THEN {bare("regexp_extract(bare, '(?s)" + chr(34) + "(.*)$', 1)")} ELSE '' END,
+            regexp_matches(text, {_quoted(_CUT_NOTE)}), regexp_extract(skeleton, '[^\\[\\]{{}}]*$', 0) FROM r WHERE open
+        UNION ALL SELECT id, 'plain', length(text), {bare("regexp_extract(bare, '[^" + _TEXT + "]*$', 0)")}, TRUE, NULL
+            FROM r WHERE body <> '' AND NOT open AND regexp_matches(text, {_quoted(_CUT_NOTE)}))"""
+    end = "v WHERE kind <> 'value' OR unclosed AND len(ws) >= " + str(MIN_WORDS)
+    last = f"regexp_extract(value, '({_WORD.replace(chr(39), chr(39) * 2)})$', 1)"
+    return [replies, values], [
+        _part(
+            "end", end, id="id", kind="kind", chars="chars", last=last, tail="tail", note="note", unclosed="unclosed OR kind = 'open'",
+            running=f"kind = 'plain' AND len(ws) >= {MIN_WORDS}", closes="kind = 'plain' AND regexp_matches(value, '[.!?\\x{0964}\\x{06d4}]\\s')",
         ),
-    )
-    values = F.when(is_json, decoded).otherwise(F.array(t))
+        _part("word", "(SELECT unnest(ws[:-2]) AS word FROM v) GROUP BY word", word="word", n="count(*)"),
+        _part("piece", f"(SELECT unnest(regexp_extract_all(skeleton, '[^\\[\\]{{}}]*[\\[\\]{{}}]+')) AS word FROM r WHERE body <> '' AND NOT open) GROUP BY word", word="word", n="count(*)"),
+        _part("size", "v WHERE kind = 'value' GROUP BY chars", kind="'value'", chars="chars", n="count(*)"),
+        _part("size", "r GROUP BY length(text)", kind="'reply'", chars="length(text)", n="count(*)"),
+    ]
+
+
+def ends(replies: DataFrame, key: str, text: str) -> DataFrame:
+    """``COLUMNS`` of all replies, read in one pass. Null and blank replies have no rows."""
+    tables, reads = _reading_sql()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import duckdb
+
+        con = duckdb.connect(config={"threads": 1})
+        try:
+            for batch in batches:
+                con.register("batch", pa.Table.from_batches([batch]))
+                for statement in tables:
+                    con.execute(statement)
+                for read in reads:
+                    yield from con.sql(read).to_arrow_table().to_batches()
+                con.unregister("batch")
+        finally:
+            con.close()
+
+    rows = replies.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in COLUMNS.items()))
+
+
+def trie(words: DataFrame, longest: int) -> DataFrame:
+    """(node, below): every proper prefix, of ``longest`` characters at most, of the words, with the number of words below it."""
+    upto = F.least(F.length("word") - 1, F.lit(longest))
     return (
-        replies.where(t.isNotNull() & t.rlike(r"\S"))
-        .select(
-            F.col(key).cast("bigint").alias("id"),
-            (~is_json).alias("whole"),
-            (opened | t.rlike(_CUT_NOTE)).alias("open"),
-            F.explode(F.when(F.size(values) > 0, values).otherwise(F.array(F.lit("")))).alias("value"),
-        )
-        .select(
-            "id", "whole", "open", F.length("value").alias("chars"), F.when(F.col("whole"), _without_trailer(F.col("value"))).otherwise(F.rtrim("value")).alias("value")
-        )
+        words.where(F.length("word") > 1)
+        .select(F.explode(F.transform(F.sequence(F.lit(1), upto), lambda k: F.substring(F.col("word"), F.lit(1), k))).alias("node"))
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("below"))
     )
 
 
-def known_words(values: DataFrame) -> DataFrame:
-    """(word, n): words that occur ``MIN_COUNT`` times or more before the last word of their value."""
-    words = F.regexp_extract_all("value", F.lit(_WORD), F.lit(0))
+def _looked_up(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """``tokens`` (token, n: how often it is an end) with ``inside`` (how often it is a word) and ``below`` (words it is a proper prefix of)."""
+    longest = tokens.agg(F.coalesce(F.max(F.length("token")), F.lit(0))).first()[0]
+    # Prefixes of which no token has the length are not made.
+    nodes = trie(words, longest).join(tokens.select(F.col("token").alias("node")), "node", "left_semi")
     return (
-        values.select(F.explode(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= MIN_COUNT)
+        tokens.join(words.select(F.col("word").alias("token"), F.col("n").alias("inside")), "token", "left")
+        .join(nodes.withColumnRenamed("node", "token"), "token", "left")
+        .fillna(0, ["inside", "below"])
     )
 
 
-def trie(words: DataFrame) -> DataFrame:
-    """(node, below): every proper prefix of the words, with the number of words below it."""
-    return (
-        words.where(F.length("word") > 1)
-        .select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: F.substring(F.col("word"), F.lit(1), k))).alias("node"))
-        .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("below"))
-    )
-
+def evidence(replies: DataFrame, key: str = "result_id", text: str = "raw_text") -> DataFrame:
+    """(id, kind, chars, the names of ``WEIGHTS``, weight): what speaks for a cut, per end that something speaks for.
 
-def truncated(replies: DataFrame, key: str = "result_id", text: str = "raw_text") -> DataFrame:
-    """(id): every reply that lost its end, or holds a text that did; each once. Null and blank replies are no cases."""
-    values = stored(items(replies, key, text), "items")
-    words = stored(known_words(values), "words")
-    ends = values.where(~F.col("open") & ~F.col("value").rlike(_CLOSED)).select(
-        "id",
-        "whole",
-        "chars",
-        F.regexp_extract("value", _LAST, 1).alias("last"),
-        (F.size(F.regexp_extract_all("value", F.lit(_WORD), F.lit(0))) >= MIN_WORDS).alias("running"),
-        F.regexp_like("value", F.lit(r"[.!?\x{0964}\x{06d4}]\s")).alias("closes"),
-    )
-    ends = stored(ends.where("last <> '' and (whole or running)"), "ends")
-    tokens = ends.groupBy("last").agg(F.count(F.lit(1)).alias("n"))
-    nodes = trie(words).join(tokens.select(F.col("last").alias("node")), "node", "left_semi")
-    looked = (
-        tokens.join(words.select(F.col("word").alias("last"), F.col("n").alias("inside")), "last", "left")
-        .join(nodes.select(F.col("node").alias("last"), "below"), "last", "left")
-        .select("last", "n", (F.col("below").isNotNull() & (F.coalesce("inside", F.lit(0)) < F.col("n"))).alias("fragment"))
+    kind is ``plain`` (a reply of text), ``open`` (a JSON reply that stays open) or ``value`` (a string inside JSON).
+    """
+    rows = stored(ends(replies, key, text), "ends")
+    end = rows.where("part = 'end'").select("id", "kind", "chars", F.coalesce("last", F.lit("")).alias("last"), "tail", "note", "unclosed", "running", "closes")
+    total = rows.where("part = 'word'").groupBy("word").agg(F.sum("n").alias("n"))
+    words = stored(total.where(F.col("n") >= MIN_COUNT), "words")
+    tokens = stored(end.where("unclosed and last <> ''").groupBy(F.col("last").alias("token")).agg(F.count(F.lit(1)).alias("n")), "last_words")
+    looked = _looked_up(tokens, words).select(
+        F.col("token").alias("last"),
+        F.col("n").alias("times"),
+        ((F.col("below") > 0) & (F.col("inside") < F.col("n"))).alias("fragment"),
+        (F.col("inside") >= F.col("n") * INNER).alias("inner"),
     )
-    judged = stored(heavy_join(ends, stored(looked, "tokens"), ["last"], "n", ends.count()), "judged")
-    spikes = judged.where("fragment and running").groupBy("whole", "chars").agg(F.count(F.lit(1)).alias("cut"))
-    at = values.where("not open").groupBy("whole", "chars").agg(F.count(F.lit(1)).alias("all"))
+    count = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    named = end.where("unclosed and last <> ''")
+    judged = heavy_join(named, stored(looked, "tokens"), ["last"], "times", count)
+    no = F.lit(False)
+    judged = judged.unionByName(end.where("not (unclosed and last <> '')").withColumns({"fragment": no, "inner": no}))
+    # The tails of open replies: numbers and strings are one character each, so few differ.
+    pieces = rows.where("part = 'piece'").groupBy("word").agg(F.sum("n").alias("n"))
+    tails = stored(end.where("kind = 'open'").groupBy(F.col("tail").alias("token")).agg(F.count(F.lit(1)).alias("times")), "tails")
+    known = _looked_up(tails.withColumnRenamed("times", "n"), stored(pieces, "pieces"))
+    known = stored(known.select(F.col("token").alias("tail"), F.col("n").alias("times"), ((F.col("below") > 0) | (F.col("token") == "")).alias("piece")), "known_tails")
+    open_ = heavy_join(judged.where("kind = 'open'"), known, ["tail"], "times", tails.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0])
+    judged = stored(open_.unionByName(judged.where("kind <> 'open'").withColumn("piece", no)).withColumn("open", F.col("kind") == "open"), "judged")
+    size = F.when(F.col("kind") == "value", "value").otherwise("reply").alias("kind")
+    spikes = judged.where("fragment").groupBy(size, "chars").agg(F.count(F.lit(1)).alias("cut"))
+    at = rows.where("part = 'size'").groupBy("kind", "chars").agg(F.sum("n").alias("all"))
+    # One row per length, whatever the number of values.
+    around = F.sum("cut").over(Window.partitionBy("kind").orderBy("chars").rangeBetween(-LIMIT_NEAR, LIMIT_NEAR))
     limits = (
-        spikes.where(F.col("cut") >= LIMIT_COUNT)
-        .join(at, ["whole", "chars"])
+        spikes.withColumn("around", around)
+        .where((F.col("cut") >= LIMIT_COUNT) & (F.col("cut") * 2 > F.col("around")))
+        .join(at, ["kind", "chars"])
         .where(F.col("cut") >= F.col("all") * LIMIT_SHARE)
-        .select("whole", "chars", F.lit(True).alias("limit"))
+        .select(F.col("kind").alias("size"), "chars", F.lit(True).alias("at_limit"))
     )
-    found = judged.join(limits, ["whole", "chars"], "left").where("(fragment and running) or limit or (whole and (closes or running))")
-    full = values.where("whole and not open").join(limits.where("whole"), ["whole", "chars"], "left_semi")
-    return values.where("open").select("id").union(found.select("id")).union(full.select("id")).distinct()
+    judged = judged.withColumn("size", size).join(limits, ["size", "chars"], "left").withColumn("at_limit", F.coalesce("at_limit", no))
+    # A string inside JSON has its closing quote, so the missing full stop says nothing of it.
+    judged = judged.withColumn("unclosed", F.col("unclosed") & (F.col("kind") != "value")).withColumn("inner", F.col("inner") & F.col("unclosed"))
+    weight = sum((F.coalesce(F.col(c), no).cast("int") * w for c, w in WEIGHTS.items()), F.lit(0))
+    return judged.select("id", "kind", "chars", *[F.coalesce(c, no).alias(c) for c in WEIGHTS], weight.alias("weight")).where("weight > 0")
+
+
+def truncated(replies: DataFrame, key: str = "result_id", text: str = "raw_text") -> DataFrame:
+    """(id): every reply that lost its end, or holds a text that did; each once. Null and blank replies are no cases."""
+    return evidence(replies, key, text).where(F.col("weight") >= ENOUGH).select("id").distinct()
+
+
+def rules(replies: DataFrame, key: str = "result_id", text: str = "raw_text") -> DataFrame:
+    """(id, rule) of every reply that lost its end, by the first evidence of these that it has: ``words`` (last word a fragment by the trie of
+    words), ``pieces`` (by the trie of skeletons), ``length`` or ``marks``."""
+    rule = F.when(F.col("fragment"), 1).when(F.col("piece"), 2).when(F.col("at_limit"), 3).otherwise(4)
+    best = evidence(replies, key, text).where(F.col("weight") >= ENOUGH).groupBy("id").agg(F.min(rule).alias("rule"))
+    return best.select("id", F.element_at(F.array(*map(F.lit, ("words", "pieces", "length", "marks"))), F.col("rule")).alias("rule"))
 
 
 def rates(replies: DataFrame, key: str, text: str, by: list[str]) -> DataFrame:

@@ -44,6 +44,14 @@ def test_cut_replies(spark):
     assert (rate.n_replies, rate.n_truncated) == (len(texts), sum(texts.values()))
 
 
+def test_rules_that_decide(spark):
+    full = [LONG + "."] * 6 + ["A registration found the old university of the wide market."] * 6
+    whole = json.dumps({"pages": [{"block_text": full, "block_classes": ["Text"] * 12}], "order": [0, 1, 2, 3]})
+    texts = [whole, whole[:90], whole[: whole.index("wide market") + 11], whole[: whole.index(", 2")], LONG + ". " + LONG, LONG + " behind the old regis"]
+    rows = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts, 1)], "id long, raw_text string, weight string")
+    assert {tuple(r) for r in truncation.rules(rows, "id").collect()} == {(2, "words"), (3, "marks"), (4, "pieces"), (5, "marks"), (6, "words")}
+
+
 def test_no_replies(spark):
     assert truncation.truncated(replies(spark, None).limit(0)).count() == 0
 
