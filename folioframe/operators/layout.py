@@ -187,16 +187,30 @@ def overlapping(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
 
 
 def overlay_boxes(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
-    """(key, idx, x1, y1, x2, y2, color, label): rectangles and labels to draw; ``label`` names the place in the reading order."""
+    """(key, idx, x1, y1, x2, y2, color, label): rectangles and labels to draw.
+
+    ``label`` has the block's position, its class and the value of the reading order at that position. A block without class counts as text;
+    unknown classes are grey.
+    """
     colors = F.create_map(*[F.lit(x) for kv in COLORS.items() for x in kv])
     rows = _paged(annotations).select(key, "reading_order", F.explode("bs_").alias("b"))
-    place = F.array_position(F.coalesce("reading_order", F.array().cast("array<int>")), F.col("b.idx")) - 1
-    label = F.concat(F.lit("["), F.col("b.idx"), F.lit("] "), F.coalesce("b.cls", F.lit("")), F.when(place >= 0, F.concat(F.lit(" RO:"), place)).otherwise(""))
+    cls = F.coalesce("b.cls", F.lit("Text"))
+    at = F.get("reading_order", F.col("b.idx"))
+    place = F.when(F.col("b.idx") < F.size("reading_order"), F.concat(F.lit(" RO:"), F.coalesce(at.cast("string"), F.lit("None")))).otherwise("")
+    label = F.concat(F.lit("["), F.col("b.idx"), F.lit("] "), cls, F.coalesce(place, F.lit("")))
     return rows.select(
-        key, "b.idx", "b.x1", "b.y1", "b.x2", "b.y2", F.coalesce(F.try_element_at(colors, F.col("b.cls")), F.lit("200,200,200")).alias("color"), label.alias("label")
+        key, "b.idx", "b.x1", "b.y1", "b.x2", "b.y2", F.coalesce(F.try_element_at(colors, cls), F.lit("200,200,200")).alias("color"), label.alias("label")
     )
 
 
+def legend(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
+    """(key, pos, class, color): the classes of a page with their colours, in alphabetical order; unknown classes are grey."""
+    colors = F.create_map(*[F.lit(x) for kv in COLORS.items() for x in kv])
+    classes = F.array_sort(F.array_distinct(F.filter("block_classes", lambda c: c.isNotNull())))
+    rows = annotations.where("block_classes is not null").select(key, F.posexplode(classes).alias("pos", "class"))
+    return rows.withColumn("color", F.coalesce(F.try_element_at(colors, F.col("class")), F.lit("200,200,200")))
+
+
 def _point(b: Column) -> Column:
     return F.struct(_centre(b).cast("int").alias("x"), ((b["y1"] + b["y2"]) / 2).cast("int").alias("y"), b["idx"].alias("idx"))
 

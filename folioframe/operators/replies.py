@@ -7,12 +7,12 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioframe.functions.jsontext import is_json
 from folioframe.functions.text import is_blank, strip
-from folioframe.operators.layout import CLASSES
+from folioframe.operators.layout import CLASSES, geometry_order, whole, zipped
 
 # The text that marks a picture, a label of old replies with the label used for it, the marks around spoken thoughts.
 PICTURE_MARK = "[NO_TEXT_IN_PICTURE]"
@@ -26,7 +26,7 @@ VISION = ("gemini", "glm", "iamhc")
 _FENCE = re.compile(r"```(?:json)?(.*?)(?:```|\Z)", re.S)
 _TOKEN = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|[{}]')
 PAGE = (
-    "struct<block_classes:array<string>,block_text:array<string>,page_order:array<int>,reading_order:array<int>,"
+    "struct<block_boxes:array<array<int>>,block_classes:array<string>,block_text:array<string>,page_order:array<int>,reading_order:array<int>,"
     "block_relations:array<struct<source:int,target:int,relation:string>>>"
 )
 
@@ -96,6 +96,13 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _extract_about(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, json, error, provider) from (id, text, provider)."""
+    for batch in batches:
+        found = next(_extract(iter([batch.select([0, 1])])))
+        yield pa.RecordBatch.from_arrays([*found.columns, batch.column(2)], ["id", "json", "error", "provider"])
+
+
 def extracted(replies: DataFrame, key: str = "result_id", text: str = "raw_text") -> DataFrame:
     """(id, json, error): the JSON object of every reply, or why there is none."""
     return replies.select(F.col(key).cast("bigint").alias("id"), text).mapInArrow(_extract, "id bigint, json string, error string")
@@ -107,18 +114,31 @@ def _fitted(items: Column, n: Column, filler: str) -> Column:
     return F.slice(F.concat(held, F.array_repeat(F.lit(filler), n)), F.lit(1), n)
 
 
-def order_of(order: Column, n: Column) -> tuple[Column, Column]:
+def _places(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+
+
+def _is_permutation(order: Column, n: Column) -> Column:
+    """Whether ``order`` holds each of 0 to n − 1 once; false for null."""
+    inside = F.size(F.filter(order, lambda x: (x >= 0) & (x < n))) == n
+    return F.coalesce(inside & (F.size(order) == n) & (F.size(F.array_distinct(order)) == n), F.lit(False))
+
+
+def order_of(order: Column, n: Column, fallback: Column | None = None) -> tuple[Column, Column]:
     """(order, source) of ``n`` blocks.
 
     A longer order is cut; one that starts at 1 or later and reaches ``n`` is counted from 1 and shifted. What is then no permutation
-    gives way to the order as delivered; the source is ``given`` or ``default``.
+    gives way to ``fallback`` where that is one, else to the order as delivered; the source is ``given``, ``geometry`` or ``default``.
     """
     cut = F.slice(order, F.lit(1), F.greatest(n, F.lit(0)))
     shifted = F.when((F.get(cut, F.lit(0)) >= 1) & (F.array_max(cut) >= n), F.transform(cut, lambda x: x - 1)).otherwise(cut)
-    good = (F.size(shifted) == n) & (F.size(F.array_distinct(shifted)) == n) & (F.array_min(shifted) >= 0) & (F.array_max(shifted) < n)
-    good = F.coalesce(good, F.lit(False)) & (F.size(F.filter(shifted, lambda x: x.isNull())) == 0)
-    natural = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.when(good, shifted).otherwise(natural), F.when(good, "given").otherwise("default")
+    good = _is_permutation(shifted, n)
+    out, source = F.when(good, shifted), F.when(good, "given")
+    if fallback is not None:
+        # A reply that gives no order at all keeps the order as delivered.
+        fits = order.isNotNull() & _is_permutation(fallback, n)
+        out, source = out.when(fits, fallback), source.when(fits, "geometry")
+    return out.otherwise(_places(n)), source.otherwise("default")
 
 
 def label(cls: Column, text: Column, area: Column | None = None, was_picture: Column | None = None) -> Column:
@@ -134,41 +154,90 @@ def label(cls: Column, text: Column, area: Column | None = None, was_picture: Co
     return F.when(small, "Text").otherwise(now)
 
 
-def pages(replies: DataFrame, key: str = "result_id", text: str = "raw_text", provider: str = "provider") -> DataFrame:
-    """(id, page_pos, n_blocks, classes, texts, order, order_source, relations, labels_ok, quality): one row per page of a readable reply.
+RELATIONS = "array<struct<source:int,target:int,relation:string>>"
+ORIGINALS = "boxes array<array<int>>, texts array<string>, pictures array<boolean>"
+
 
-    An object without ``pages`` that has labels is one page. Labels are fitted to the number of texts where there are any; texts are
-    filled with empty ones. Blocks are gathered in the page's order. ``labels_ok`` is false for the whole reply as soon as one label of
-    it is unknown. ``quality`` tells whether the provider saw the page. Unreadable replies have no row; see ``extracted``.
+def quality(provider: Column) -> Column:
+    """How far a reply can be trusted: by whether its provider saw the page."""
+    return F.when(provider.isin(*VISION), "full_level4").otherwise("degraded_text_only_fallback")
+
+
+def provider_text(response: Column, provider: Column) -> Column:
+    """The text of a provider's response, by the path of its family; null where there is none."""
+    candidates = F.get_json_object(response, "$.candidates[0].content.parts[0].text")
+    return F.when(provider == "gemini", candidates).otherwise(F.get_json_object(response, "$.choices[0].message.content"))
+
+
+def originals(blocks: DataFrame) -> DataFrame:
+    """(id, page_pos, boxes, texts, pictures): recognised blocks per page, a page counting as a reply of one page.
+
+    Of blocks at the same place the one with the lowest id counts; null texts are empty, null boxes are of no size.
+    """
+    one = blocks.groupBy("page_id", "idx").agg(F.min_by(F.struct("box", "text", "is_picture"), "block_id").alias("b"))
+    box = F.coalesce("b.box", F.array(*[F.lit(0)] * 4))
+    row = F.struct("idx", box.alias("box"), F.coalesce("b.text", F.lit("")).alias("text"), F.coalesce("b.is_picture", F.lit(False)).alias("is_picture"))
+    rows = one.select("page_id", row.alias("r")).groupBy("page_id").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    return rows.select(F.col("page_id").cast("bigint").alias("id"), F.lit(0).alias("page_pos"), *[F.col(f"rs.{c}").alias(n) for c, n in (("box", "boxes"), ("text", "texts"), ("is_picture", "pictures"))])
+
+
+def pages(
+    replies: DataFrame, recognised: DataFrame | None = None, expected: int | None = None, level: int = 4, key: str = "result_id", text: str = "raw_text", provider: str = "provider"
+) -> DataFrame:
+    """(id, page_pos, error, n_blocks, boxes, classes, texts, order, order_source, relations, quality): one row per page of a usable reply, and one row with
+    an ``error`` and nothing else for every other: why there is no object, ``page count`` or ``unknown label``.
+
+    A reply must have ``expected`` pages if that is given; an object without ``pages`` that has labels is one page. ``recognised`` are the blocks the
+    reply is about (id, page_pos, ``ORIGINALS``). Labels decide the number of blocks, and are fitted to the recognised ones where there are any.
+    A blank text gives way to the recognised one. The reply's boxes count if there is one per block and it has texts, else the recognised ones
+    or boxes of no size. A bad order gives way to the geometric one of the recognised boxes. Blocks are gathered in the page's order, then
+    the fixed rules for labels hold. Below ``level`` 4 order and relations are null. Of a key that repeats, each row gives its pages.
     """
-    read = extracted(replies, key, text).where("json is not null")
-    many = F.from_json("json", f"struct<pages:array<{PAGE}>>")["pages"]
-    single = F.from_json("json", PAGE)
-    listed = F.when(many.isNotNull(), many).when(single["block_classes"].isNotNull(), F.array(single))
-    rows = read.select("id", F.posexplode(listed).alias("page_pos", "p")).where("p is not null")
-    n = F.greatest(F.coalesce(F.size("p.block_text"), F.lit(0)), F.coalesce(F.size("p.block_classes"), F.lit(0)))
+    about = replies.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"), F.col(provider).alias("provider"))
+    read = about.mapInArrow(_extract_about, "id bigint, json string, error string, provider string")
+    many, single = F.from_json("json", f"struct<pages:array<{PAGE}>>")["pages"], F.from_json("json", PAGE)
+    has_pages = F.array_contains(F.json_object_keys("json"), "pages")
+    listed = F.when(has_pages, many).when(single["block_classes"].isNotNull() & F.lit(expected in (None, 1)), F.array(single))
+    rows = read.withColumn("ps", F.coalesce(listed, F.array().cast(f"array<{PAGE}>")))
+    count = (F.size("ps") == F.lit(expected)) if expected is not None else F.size("ps") > 0
+    rows = rows.withColumn("error", F.when(F.col("json").isNull(), F.col("error")).when(~count, "page count")).withColumn("row", F.monotonically_increasing_id())
+    failed = rows.where("error is not null").select("id", F.lit(None).cast("int").alias("page_pos"), "error")
+    rows = rows.where("error is null").select("id", "row", "provider", F.posexplode("ps").alias("page_pos", "p"))
+    if recognised is not None:
+        rows = rows.join(recognised.select("id", "page_pos", F.col("boxes").alias("ob"), F.col("texts").alias("ot"), F.col("pictures").alias("op")), ["id", "page_pos"], "left")
+    else:
+        kinds = (("ob", "array<array<int>>"), ("ot", "array<string>"), ("op", "array<boolean>"))
+        rows = rows.withColumns({c: F.lit(None).cast(k) for c, k in kinds})
+    known = F.coalesce(F.size("ot"), F.lit(0))
+    rows = rows.withColumn("n_blocks", F.when(known > 0, known).otherwise(F.coalesce(F.size("p.block_classes"), F.lit(0))))
+    n = F.col("n_blocks")
+    texts = F.transform(_places(n), lambda i: F.when(~is_blank(F.get("p.block_text", i)), F.get("p.block_text", i)).otherwise(F.coalesce(F.get("ot", i), F.lit(""))))
+    own = F.col("p.block_text").isNotNull() & (F.size("p.block_boxes") == n)
     given = F.when(F.size("p.page_order") > 0, F.col("p.page_order")).otherwise(F.col("p.reading_order"))
-    order, source = order_of(given, F.col("n_blocks"))
-    rows = rows.withColumn("n_blocks", n)
+    order, source = order_of(given, n, geometry_order(whole(zipped("ob", "ot", "ot"))))
     rows = rows.select(
-        "id",
-        "page_pos",
-        "n_blocks",
-        _fitted(F.col("p.block_classes"), F.col("n_blocks"), "Text").alias("cs"),
-        F.transform(_fitted(F.col("p.block_text"), F.col("n_blocks"), ""), lambda t: F.coalesce(t, F.lit(""))).alias("ts"),
-        order.alias("order"),
-        source.alias("order_source"),
-        F.coalesce("p.block_relations", F.array().cast("array<struct<source:int,target:int,relation:string>>")).alias("relations"),
-    )
+        "id", "row", "page_pos", "provider", "n_blocks", "op", order.alias("order"), source.alias("order_source"),
+        _fitted(F.col("p.block_classes"), n, "Text").alias("cs"), texts.alias("ts"),
+        F.when(own, F.col("p.block_boxes")).when(known > 0, F.col("ob")).otherwise(F.array_repeat(F.array(*[F.lit(0)] * 4), n)).alias("bs"),
+        F.coalesce("p.block_relations", F.array().cast(RELATIONS)).alias("relations"),
+    )
+    side = lambda b, k: F.get(b, F.lit(k)).cast("double")
+    area = lambda b: (side(b, 2) - side(b, 0)) * (side(b, 3) - side(b, 1))
+    # Without recognised blocks no label is changed for its size.
+    was = lambda i: F.when(F.col("op").isNull(), True).otherwise(F.coalesce(F.get("op", i), F.lit(False)))
+    classes = F.transform("order", lambda i: label(F.get("cs", i), F.get("ts", i), area(F.get("bs", i)), was(i)))
     gathered = lambda c: F.transform("order", lambda i: F.get(F.col(c), i))
-    rows = rows.select("id", "page_pos", "n_blocks", gathered("cs").alias("cs"), gathered("ts").alias("texts"), "order", "order_source", "relations")
-    rows = rows.withColumn("classes", F.zip_with("cs", "texts", lambda c, t: label(c, t))).drop("cs")
+    rows = rows.select("id", "row", "page_pos", "provider", "n_blocks", gathered("bs").alias("boxes"), classes.alias("classes"), gathered("ts").alias("texts"), "order", "order_source", "relations")
     bad = F.size(F.filter("classes", lambda c: ~F.coalesce(c.isin(*CLASSES), F.lit(False)))) > 0
-    per = rows.groupBy("id").agg(F.max(bad).alias("bad"))
-    about = replies.select(F.col(key).cast("bigint").alias("id"), F.when(F.col(provider).isin(*VISION), "full_level4").otherwise("degraded_text_only_fallback").alias("quality")).dropDuplicates(["id"])
-    return rows.join(per, "id").join(about, "id").select(
-        "id", "page_pos", "n_blocks", "classes", "texts", "order", "order_source", "relations", (~F.col("bad")).alias("labels_ok"), "quality"
-    )
+    # All pages of a reply fall with one of its labels; a reply's pages are few, and only they share a window.
+    rows = rows.withColumn("bad", F.max(bad).over(Window.partitionBy("row")))
+    failed = failed.unionByName(rows.where("bad").select("id", F.lit(None).cast("int").alias("page_pos"), F.lit("unknown label").alias("error"), "row").dropDuplicates(["row"]).drop("row"))
+    full = F.lit(level >= 4)
+    good = rows.where("not bad").select(
+        "id", "page_pos", F.lit(None).cast("string").alias("error"), "n_blocks", "boxes", "classes", "texts", F.when(full, F.col("order")).alias("order"), "order_source",
+        F.when(full, F.col("relations")).alias("relations"), F.when(full, quality(F.col("provider"))).alias("quality"),
+    )
+    return good.unionByName(failed, allowMissingColumns=True)
 
 
 def first_success(attempts: DataFrame, batch: str, rank: str, ok: Column, result: str) -> DataFrame:

@@ -15,6 +15,14 @@ def _annotations(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "page_annotations")
 
 
+def doubled(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as a merge that went wrong leaves them: all boxes twice, the first half moved by a pixel and the last box as it is, with all texts
+    twice. Every page has overlaps, a repeated box and repeated texts."""
+    moved = F.transform("block_boxes", lambda b, i: F.when(i < F.size("block_boxes") - 1, F.transform(b, lambda v: v + 1)).otherwise(b))
+    again = {"block_boxes": F.concat("block_boxes", moved), **{c: F.concat(c, c) for c in ("block_classes", "block_text")}}
+    return _annotations(spark, folder).withColumns(again)
+
+
 def _edges(edges: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: layout.relations(_annotations(spark, folder), edges(F.col("bs_")))
 
@@ -26,10 +34,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "caption_relations": _edges(lambda b: F.concat(layout.caption_edges(b, "Table"), layout.caption_edges(b, "Picture"))),
     "footnote_relations": _edges(layout.footnote_edges),
     "auto_relations": lambda s, d: layout.filled_relations(_annotations(s, d)),
-    "overlap_pairs": lambda s, d: layout.overlapping(_annotations(s, d)),
-    "duplicate_text": lambda s, d: layout.repeated_texts(_annotations(s, d)),
-    "duplicate_boxes": lambda s, d: layout.repeated_boxes(_annotations(s, d)),
+    "overlap_pairs": lambda s, d: layout.overlapping(doubled(s, d)),
+    "duplicate_text": lambda s, d: layout.repeated_texts(doubled(s, d)),
+    "duplicate_boxes": lambda s, d: layout.repeated_boxes(doubled(s, d)),
     "overlay_boxes": lambda s, d: layout.overlay_boxes(_annotations(s, d)),
+    "overlay_legend": lambda s, d: layout.legend(_annotations(s, d)),
     "overlay_order_arrows": lambda s, d: layout.order_arrows(_annotations(s, d)),
     "overlay_relation_arrows": lambda s, d: layout.relation_arrows(_annotations(s, d)),
 }
@@ -86,6 +95,20 @@ _ARROW = """CAST(trunc((a.x1 + a.x2) / 2) AS INTEGER) AS x1, CAST(trunc((a.y1 +
 _STRIP = r"regexp_replace({0}, '^[\s\p{{Z}}\x{{1c}}-\x{{1f}}\x{{0b}}\x{{85}}]+|[\s\p{{Z}}\x{{1c}}-\x{{1f}}\x{{0b}}\x{{85}}]+$', '', 'g')"
 
 
+# Pages doubled as in ``doubled``.
+DOUBLED = """doubled AS (
+  SELECT * REPLACE (
+    list_concat(block_boxes, list_transform(range(1, len(block_boxes) + 1), lambda i: CASE WHEN i < len(block_boxes) THEN list_transform(block_boxes[i], lambda v: v + 1) ELSE block_boxes[i] END)) AS block_boxes,
+    list_concat(block_classes, block_classes) AS block_classes, list_concat(block_text, block_text) AS block_text
+  ) FROM page_annotations
+)"""
+
+
+def on_doubled(sql: str) -> str:
+    """``sql`` over the doubled pages."""
+    return f"WITH {DOUBLED}, " + sql.removeprefix("WITH ").replace("page_annotations", "doubled")
+
+
 def stripped(column: str) -> str:
     """SQL that strips Unicode white space at both ends."""
     return _STRIP.format(column)
@@ -109,23 +132,27 @@ held AS (SELECT ann_id, COALESCE(len(block_relations), 0) AS n, block_relations
 SELECT ann_id, CAST(i AS INTEGER) AS pos, r[i + 1].source AS source, r[i + 1].target AS target, r[i + 1].relation AS relation
 FROM (SELECT *, unnest(range(n)) AS i FROM held)
 UNION ALL SELECT a.* FROM auto a JOIN held h ON h.ann_id = a.ann_id WHERE h.n = 0""",
-    "overlap_pairs": f"""WITH {BLOCKS}, o AS (
+    "overlap_pairs": on_doubled(f"""WITH {BLOCKS}, o AS (
   SELECT a.ann_id, a.idx AS a, b.idx AS b,
     greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS area,
     least((a.x2 - a.x1) * (a.y2 - a.y1), (b.x2 - b.x1) * (b.y2 - b.y1)) AS small
   FROM g a JOIN g b ON a.ann_id = b.ann_id AND a.idx < b.idx
-) SELECT ann_id, a, b, CAST(area AS DOUBLE) AS area FROM o WHERE area > 0.5 * small AND area > 0""",
-    "duplicate_text": f"""WITH t AS (
+) SELECT ann_id, a, b, CAST(area AS DOUBLE) AS area FROM o WHERE area > 0.5 * small AND area > 0"""),
+    "duplicate_text": on_doubled(f"""WITH t AS (
   SELECT ann_id, CAST(i AS INTEGER) AS idx, lower({stripped("block_text[i + 1]")}) AS k
   FROM (SELECT *, unnest(range(len(block_text))) AS i FROM page_annotations WHERE block_text IS NOT NULL)
 ), l AS (SELECT ann_id, idx, LAG(idx) OVER (PARTITION BY ann_id, k ORDER BY idx) AS earlier, k FROM t WHERE k IS NOT NULL)
-SELECT ann_id, idx, earlier FROM l WHERE earlier IS NOT NULL AND length(k) > 10""",
-    "duplicate_boxes": f"""WITH {BLOCKS}
-SELECT ann_id, idx FROM (SELECT ann_id, idx, ROW_NUMBER() OVER (PARTITION BY ann_id, CAST(box AS VARCHAR) ORDER BY idx) AS rn FROM blk) WHERE rn > 1""",
+SELECT ann_id, idx, earlier FROM l WHERE earlier IS NOT NULL AND length(k) > 10"""),
+    "duplicate_boxes": on_doubled(f"""WITH {BLOCKS}
+SELECT ann_id, idx FROM (SELECT ann_id, idx, ROW_NUMBER() OVER (PARTITION BY ann_id, CAST(box AS VARCHAR) ORDER BY idx) AS rn FROM blk) WHERE rn > 1"""),
     "overlay_boxes": f"""WITH {BLOCKS}, c(cls, color) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in layout.COLORS.items())})
 SELECT g.ann_id, g.idx, x1, y1, x2, y2, COALESCE(c.color, '200,200,200') AS color,
-  '[' || g.idx || '] ' || COALESCE(g.cls, '') || CASE WHEN list_position(p.reading_order, g.idx) > 0 THEN ' RO:' || (list_position(p.reading_order, g.idx) - 1) ELSE '' END AS label
-FROM g JOIN page_annotations p ON p.ann_id = g.ann_id LEFT JOIN c ON c.cls = g.cls""",
+  '[' || g.idx || '] ' || COALESCE(g.cls, 'Text') || CASE WHEN g.idx < len(p.reading_order) THEN ' RO:' || COALESCE(CAST(p.reading_order[g.idx + 1] AS VARCHAR), 'None') ELSE '' END AS label
+FROM g JOIN page_annotations p ON p.ann_id = g.ann_id LEFT JOIN c ON c.cls = COALESCE(g.cls, 'Text')""",
+    "overlay_legend": f"""WITH c(cls, color) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in layout.COLORS.items())}),
+u AS (SELECT DISTINCT ann_id, cls FROM (SELECT ann_id, unnest(block_classes) AS cls FROM page_annotations) WHERE cls IS NOT NULL)
+SELECT ann_id, CAST(ROW_NUMBER() OVER (PARTITION BY ann_id ORDER BY u.cls) - 1 AS INTEGER) AS pos, u.cls AS class, COALESCE(color, '200,200,200') AS color
+FROM u LEFT JOIN c ON c.cls = u.cls""",
     "overlay_order_arrows": f"""WITH {BLOCKS}, s AS (
   SELECT ann_id, CAST(i AS INTEGER) AS pos, reading_order[i + 1] AS f, reading_order[i + 2] AS t
   FROM (SELECT *, unnest(range(greatest(len(reading_order) - 1, 0))) AS i FROM page_annotations WHERE reading_order IS NOT NULL)

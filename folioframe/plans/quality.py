@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.operators import validation
 from folioframe.operators.layout import CLASSES, RELATIONS
-from folioframe.plans.pages import BLOCKS, stripped
+from folioframe.plans.pages import BLOCKS, doubled, on_doubled, stripped
 from folioframe.sources.tables import table
 
 
@@ -18,6 +18,7 @@ def _on(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, s
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_findings": _on(lambda a: validation.page_findings(a).drop("pos")),
+    "doubled_findings": lambda s, d: validation.page_findings(doubled(s, d)).drop("pos"),
     "validate_pages": _on(validation.validate),
     "score_pages": _on(validation.score),
     "report_summary": _on(validation.report),
@@ -133,6 +134,7 @@ _TOTAL_STATUS = ("required_fields", *_NAMED[:6], "reading_order", *_NAMED[6:])
 
 ORACLES: dict[str, str] = {
     "page_findings": f"WITH {_FINDINGS} SELECT * FROM f",
+    "doubled_findings": on_doubled(f"WITH {_FINDINGS} SELECT * FROM f"),
     "validate_pages": f"WITH {_VALIDATE} SELECT * FROM val",
     "score_pages": f"WITH {_FINDINGS}, {_SCORE} SELECT * FROM score",
     "report_summary": f"""WITH {_VALIDATE}, {_SCORE}

@@ -15,24 +15,71 @@ def test_objects_in_replies():
     assert [replies.object_in(t)[1] for t in (None, "", "none", "{", '{"a" 1}')] == ["null reply", "no object", "no object", "unmatched brace", "not JSON"]
 
 
+REPLY = "result_id long, raw_text string, provider string, classes string"
+
+
+def parsed(spark, replies_, blocks=None, **options):
+    rows = spark.createDataFrame([(i, t if t is None or isinstance(t, str) else json.dumps(t), p, "x") for i, t, p in replies_], REPLY)
+    own = None
+    if blocks is not None:
+        own = spark.createDataFrame(blocks, "id long, page_pos int, boxes array<array<int>>, texts array<string>, pictures array<boolean>, classes string")
+    return {(r.id, r.page_pos): r for r in replies.pages(rows, own, **options).collect()}
+
+
 def test_reply_pages(spark):
-    page = {"block_classes": ["Page-number", "Text"], "block_text": ["1", "[NO_TEXT_IN_PICTURE]", None], "page_order": [3, 1, 2], "block_relations": [{"source": 0, "target": 1, "relation": "x"}]}
-    rows = spark.createDataFrame(
+    page = {"block_classes": ["Page-number", "Text", "Text"], "block_text": ["1", "[NO_TEXT_IN_PICTURE]", None], "page_order": [3, 1, 2], "block_relations": [{"source": 0, "target": 1, "relation": "x"}]}
+    out = parsed(
+        spark,
         [
-            (1, json.dumps({"pages": [page, {"block_classes": ["Bad"], "block_text": []}]}), "gemini", "x"),
-            (2, json.dumps({"block_classes": ["Text"], "reading_order": [5]}), "groq", "x"),
-            (3, None, "groq", "x"),
-            (4, "no json", None, "x"),
-            (5, json.dumps({"pages": []}), "glm", "x"),
+            (1, {"pages": [page, {"block_classes": ["Text"], "block_text": []}]}, "gemini"),
+            (2, {"block_classes": ["Text"], "reading_order": [5]}, "groq"),
+            (3, None, "groq"),
+            (4, "no json", None),
+            (5, {"pages": []}, "glm"),
+            (6, {"pages": [page, {"block_classes": ["Bad"]}]}, "glm"),
+            (7, {"pages": [{"block_classes": []}]}, "glm"),
         ],
-        "result_id long, raw_text string, provider string, classes string",
     )
-    out = {(r.id, r.page_pos): r for r in replies.pages(rows).collect()}
-    assert set(out) == {(1, 0), (1, 1), (2, 0)}
     first = out[1, 0]
     assert (first.order, first.order_source, first.classes, first.texts) == ([2, 0, 1], "given", ["Text", "Page-header", "Picture"], ["", "1", "[NO_TEXT_IN_PICTURE]"])
-    assert not first.labels_ok and not out[1, 1].labels_ok and out[2, 0].labels_ok
+    assert first.quality == "full_level4" and out[1, 1].texts == [""] and first.boxes == [[0] * 4] * 3
     assert (out[2, 0].order, out[2, 0].order_source, out[2, 0].quality) == ([0], "default", "degraded_text_only_fallback")
+    errors = {i: r.error for (i, pos), r in out.items() if pos is None}
+    assert errors == {3: "null reply", 4: "no object", 5: "page count", 6: "unknown label"} and out[7, 0].n_blocks == 0
+
+
+def test_replies_against_recognised_blocks(spark):
+    boxes = [[0, 200, 100, 300], [0, 0, 20, 20], [0, 100, 100, 150]]
+    own = [(i, 0, boxes, ["low", "top", "middle"], [False, False, True], "x") for i in range(1, 7)] + [(7, 0, None, None, None, "x")]
+    three = ["Text"] * 3
+    out = parsed(
+        spark,
+        [
+            (1, {"pages": [{"block_classes": ["Title"], "block_text": [" ", "new"], "page_order": [0, 0, 0]}]}, "glm"),
+            (2, {"pages": [{"block_classes": [*three, "Bad"], "block_text": ["a"], "block_boxes": [[1, 1, 9, 9]] * 3, "page_order": [1, 2, 3]}]}, "glm"),
+            (3, {"pages": [{"block_classes": ["Picture"] * 3, "block_text": ["t"] * 3}]}, "glm"),
+            (4, {"pages": [{"block_classes": three, "page_order": [], "reading_order": []}]}, "glm"),
+            (5, {"pages": [{"block_classes": three}, {"block_classes": three}]}, "glm"),
+            (6, {"block_classes": three, "block_boxes": [[1, 1, 9, 9]] * 3}, "glm"),
+            (7, {"block_classes": ["Text"], "block_text": ["x"]}, "glm"),
+        ],
+        own,
+        expected=1,
+    )
+    # labels and texts fitted, blank texts from the blocks, a bad order replaced by the geometric one
+    assert (out[1, 0].order, out[1, 0].order_source, out[1, 0].texts, out[1, 0].classes) == ([1, 2, 0], "geometry", ["new", "middle", "low"], ["Text", "Text", "Title"])
+    assert (out[2, 0].order, out[2, 0].texts, out[2, 0].boxes[0]) == ([0, 1, 2], ["a", "top", "middle"], [1, 1, 9, 9])
+    assert out[3, 0].classes == ["Picture", "Text", "Picture"] and out[3, 0].order_source == "default"
+    assert out[4, 0].order_source == "geometry" and out[5, None].error == "page count"
+    assert out[6, 0].boxes == boxes and out[7, 0].boxes == [[0] * 4]
+    low = parsed(spark, [(1, {"block_classes": three}, "glm")], own, level=3)[1, 0]
+    assert low.order is None and low.relations is None and low.quality is None
+
+
+def test_provider_text(spark):
+    gem, other = json.dumps({"candidates": [{"content": {"parts": [{"text": "a"}]}}]}), json.dumps({"choices": [{"message": {"content": "b"}}]})
+    rows = spark.createDataFrame([(gem, "gemini"), (other, "glm"), ("{}", "glm"), (None, None)], "response string, provider string")
+    assert [r[0] for r in rows.select(replies.provider_text(rows.response, rows.provider)).collect()] == ["a", "b", None, None]
 
 
 def test_recognition_tree(spark):
