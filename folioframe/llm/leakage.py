@@ -6,8 +6,10 @@
    vector in the latent space of the passages, and every passage its own.
 3. Documents are cut into overlapping windows such that every run of ``RUN`` words lies whole in one of them. Each window is projected
    and compared by cosine with all passages: a stated query set against all rows, in blocks, without a shuffle. The least cosine is set
-   for every passage and window: what the weakest run of the passage would reach with ``MISREAD`` words misread at the worst places. So
-   no leak is missed in a latent space of full rank, however common the passage is in the corpus.
+   for every passage and window: what the weakest run of the passage would reach with ``MISREAD`` words misread at the worst places,
+   times the share of the passage that the latent space keeps. The space has ``RANK_SHARE`` of the rank of the passages and ``RANK`` at
+   most; a passage of which it keeps less than ``KEPT`` gets a direction of its own beside it, so no passage is lost to a low rank.
+   Documents are read into word numbers once; both passes over them use these.
 4. Candidates are checked: a run of ``RUN`` consecutive passage words, of which ``MISREAD`` at most may be misread, makes a leak.
 5. Paraphrases have candidates of their own: stretches as long as the passage with as many of its word pairs as any rewording in place
    keeps that leaves ``PARAPHRASE`` of the words. The longest common subsequence and the presence of the answer tell them.
@@ -28,18 +30,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.session import stored
+
 #: A leak has this many consecutive words, of which so many may be misread.
 RUN, MISREAD = 12, 2
 #: Words of a window, and from one window's start to the next; WINDOW - STEP >= RUN keeps every run in one window.
 WINDOW, STEP = 36, 24
 #: Part of the least weight of a run, misread words taken off, that a window must share with the passage to be a candidate.
 SHARE = 0.98
-#: Longest rank of the latent space, extra directions of the random sketch, and sketch seed.
-RANK, EXTRA, SEED = 512, 10, 11
+#: Rank of the latent space: share of the number of passages, and the most; extra directions of the random sketch, and sketch seed.
+RANK_SHARE, RANK, EXTRA, SEED = 0.8, 512, 10, 11
+#: Passages of which the latent space keeps less than this share of their squared weight are compared beside it as well; of the others,
+#: windows may fall short of the least cosine by ``SLACK``.
+KEPT, SLACK = 0.8, 0.1
 #: Share of the passage that a paraphrase has in common with a stretch as long as the passage (a window at least), in order.
 PARAPHRASE = 0.5
 
-_BREAK = re.compile(r"(\S)[-‐\xad¬]\s*\n\s*")
+_BREAK = re.compile(r"[-‐\xad¬]\s*\n\s*")
 
 
 def _plain(piece: str) -> str:
@@ -49,8 +56,12 @@ def _plain(piece: str) -> str:
 
 def _joined(text: str) -> str:
     """The text in composed form, with words broken at line ends whole again; vowel signs, viramas and joiners belong to the word."""
-    part = lambda ch: ch.isalpha() or unicodedata.category(ch)[0] == "M" or ch in "\u200c\u200d"
-    return _BREAK.sub(lambda m: m[1] if part(m[1]) else m[0], unicodedata.normalize("NFC", text))
+
+    def mend(m: re.Match) -> str:
+        ch = m.string[m.start() - 1 : m.start()]
+        return "" if ch.isalpha() or ch in ("\u200c", "\u200d") or ch and unicodedata.category(ch)[0] == "M" else m[0]
+
+    return _BREAK.sub(mend, unicodedata.normalize("NFC", text))
 
 
 def words(text: str | None) -> list[str]:
@@ -105,21 +116,23 @@ class _Reader:
     def __init__(self, p: Passages):
         self.p, self.known = p, {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        pieces = _joined(text or "").split()
-        known = self.known
-        try:
-            ids = [known[x] for x in pieces]
-        except KeyError:
-            if len(known) > self.LIMIT:
-                known.clear()
-            for x in pieces:
-                if x not in known:
-                    w = _plain(x)
-                    known[x] = self.p.vocabulary.get(w, -1) if w else -2
-            ids = [known[x] for x in pieces]
-        out = np.array(ids, np.int64)
-        return out[out > -2]
+    def _id(self, piece: str) -> int:
+        found = self.known.get(piece)
+        if found is None:
+            if len(self.known) > self.LIMIT:
+                self.known.clear()
+            word = _plain(piece)
+            found = self.known[piece] = self.p.vocabulary.get(word, -1) if word else -2
+        return found
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of every text; each different piece of the texts is looked up once."""
+        pieces = [_joined(t or "").split() for t in texts.to_pylist()]
+        flat = pa.array([x for some in pieces for x in some], pa.string()).dictionary_encode()
+        table = np.array([self._id(x) for x in flat.dictionary.to_pylist()], np.int32)
+        ids = table[flat.indices.to_numpy()]
+        ends = np.cumsum([len(some) for some in pieces])
+        return [x[x > -2] for x in np.split(ids, ends[:-1])] if len(pieces) else []
 
 
 def least_masses(ids: np.ndarray, weight: np.ndarray, codes: np.ndarray, size: int) -> float:
@@ -154,21 +167,53 @@ def _places(codes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at[hit], hit
 
 
-def document_counts(documents: DataFrame, p: Passages, text: str = "text") -> tuple[np.ndarray, int]:
-    """(number of documents with each pair, number of documents), counted over all documents."""
+def read_documents(documents: DataFrame, p: Passages, key: str, text: str) -> DataFrame:
+    """(doc_id, text, ids): the documents with their word numbers, as the bytes of 32-bit integers; null texts are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _Reader(p)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                ids = [x.tobytes() for x in read(part.column(1))]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], ["doc_id", "text", "ids"])
+
+    rows = documents.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, text string, ids binary")
+
+
+def _ids(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int32).astype(np.int64) for x in column.to_pylist()]
+
+
+def _spots(docs: list[np.ndarray], p: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, pair, place) of all pairs of the passages that stand in the documents."""
+    every = np.concatenate([*docs, np.empty(0, np.int64)])
+    owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    starts = np.append(0, np.cumsum([len(d) for d in docs]))
+    out = []
+    for gap in (1, 2):
+        a, b = every[:-gap], every[gap:]
+        at = np.flatnonzero((a >= 0) & (b >= 0) & (owner[:-gap] == owner[gap:]))
+        pair, hit = _places(p.codes, (a[at] * len(p.vocabulary) + b[at]) * 2 + gap - 1)
+        at = at[hit]
+        out.append((owner[at], pair, at - starts[owner[at]]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def document_counts(read: DataFrame, p: Passages) -> tuple[np.ndarray, int]:
+    """(number of documents with each pair, number of documents), counted over all documents (with column ``ids``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(p.codes) + 1, np.int64)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                at, _ = _places(p.codes, np.unique(pair_codes(read(t), len(p.vocabulary))[0]))
-                total[at] += 1
-                total[-1] += 1
+            owner, pair, _ = _spots(_ids(batch.column(0)), p)
+            total[:-1] += np.bincount(np.unique(owner * len(p.codes) + pair) % max(1, len(p.codes)), minlength=len(p.codes))
+            total[-1] += batch.num_rows
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["pair", "n"])
 
-    summed = documents.select(text).mapInArrow(run, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    summed = read.select("ids").mapInArrow(run, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(p.codes) + 1, np.int64)
     out[summed["pair"].to_numpy()] = summed["n"].to_numpy()
     return out[:-1], int(out[-1])
@@ -182,14 +227,14 @@ def _summed(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def latent_space(postings: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """(U, S, vectors) of the matrix with ``n`` rows whose columns are ``postings`` (pair INT, items ARRAY<INT>, weights ARRAY<DOUBLE>);
+def latent_space(postings: DataFrame, n: int, rank: int = RANK) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """(U, S, vectors), of ``rank`` directions at most, of the matrix with ``n`` rows whose columns are ``postings`` (pair INT, items ARRAY<INT>, weights ARRAY<DOUBLE>);
     ``vectors`` is (pair, v), one latent vector per pair.
 
     Y = A Omega is a sum over pairs, with the random row of each pair made from its number. Q = qr(Y) is n x l. B = Q' A is formed pair by
     pair, B B' is again a sum, and its eigenvectors give the singular values and vectors.
     """
-    width = min(n, RANK + EXTRA)
+    width = min(n, rank + EXTRA)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y = np.zeros((n, width))
@@ -211,7 +256,7 @@ def latent_space(postings: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, D
         yield pa.RecordBatch.from_arrays([pa.array([g.ravel()], pa.list_(pa.float64()))], ["m"])
 
     values, inner = np.linalg.eigh(_summed(postings.mapInArrow(gram, "m array<double>")).reshape(q.shape[1], q.shape[1]))
-    order = [k for k in np.argsort(-values) if values[k] > 1e-9 * values.max()][:RANK]
+    order = [k for k in np.argsort(-values) if values[k] > 1e-9 * values.max()][:rank]
     s = np.sqrt(values[order])
     turn = inner[:, order] / s
 
@@ -245,6 +290,10 @@ def has_run(passage: np.ndarray, window: np.ndarray, passage_words: list[str], w
     n, m = len(passage), len(window)
     if n < RUN or m < RUN:
         return False
+    # Some RUN neighbours of the window must have enough words of the passage at all.
+    held = np.append(0, np.cumsum(np.isin(window, passage)))
+    if (held[RUN:] - held[:-RUN]).max() < RUN - MISREAD:
+        return False
     same = passage[:, None] == window[None, :]
     sums = np.zeros((n + 1, m + 1), np.int16)
     for i in range(n):
@@ -301,12 +350,14 @@ def _contains(words_: list[str], part: list[str]) -> bool:
     return bool(part) and any(words_[k : k + len(part)] == part for k in range(len(words_) - len(part) + 1))
 
 
-def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", reworded: bool = False) -> DataFrame:
+def leaks(
+    documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", reworded: bool = False, rank_share: float = RANK_SHARE, kept: float = KEPT
+) -> DataFrame:
     """(doc_id, item_id, cosine, run, common, answer) of every document and passage with a candidate window.
 
-    ``run``: a run of ``RUN`` passage words was found; ``common``: the largest share of the passage's words that one window has in order or,
-    with ``reworded``, one stretch as long as the passage, which adds the candidates of paraphrases (``cosine`` is null where there is no
-    other); ``answer``: the item's answer (if it has one) stands in the document. Null texts, passages without words, and an empty table on
+    ``run``: a run of ``RUN`` passage words was found. With ``reworded``, which adds the candidates of paraphrases, ``common`` is the largest
+    share of the passage's words that a stretch as long as the passage has in order (``cosine`` is null where there is no window of its
+    own), and ``answer`` tells whether the item's answer (if it has one) stands in the document; else they are 0 and false. Null texts, passages without words, and an empty table on
     either side give no row. Passages shorter than ``RUN`` words have no runs.
     """
     schema = "doc_id bigint, item_id bigint, cosine double, run boolean, common double, answer boolean"
@@ -314,7 +365,8 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     p = Passages.read(items.select("item_id", "passage", "answer").orderBy("item_id").collect())
     if not len(p.items):
         return spark.createDataFrame([], schema)
-    having, n_docs = document_counts(documents, p, text)
+    documents = stored(read_documents(documents, p, key, text), "documents")
+    having, n_docs = document_counts(documents, p)
     idf = np.log((1 + n_docs) / (1 + having)) + 1
     weight = np.sqrt(idf)
     rows = []
@@ -324,7 +376,7 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     entries = spark.createDataFrame(rows, "pair int, item int, weight double")
     postings = entries.groupBy("pair").agg(F.collect_list("item").alias("items"), F.collect_list("weight").alias("weights"))
     n = len(p.items)
-    u, s, vectors = latent_space(postings, n)
+    u, s, vectors = latent_space(postings, n, max(1, min(RANK, int(np.ceil(rank_share * n)))))
     table = vectors.toArrow()
     latent = np.zeros((len(p.codes), len(s)), np.float32)
     latent[table["pair"].to_numpy()] = pc.list_flatten(table["v"].combine_chunks()).to_numpy().reshape(-1, len(s))
@@ -333,6 +385,22 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         norms[k] += w * w
     passages = ((u * s) / np.sqrt(norms)[:, None]).astype(np.float32).T
     least = SHARE * np.array([least_masses(i, weight, p.codes, len(p.vocabulary)) for i in p.ids]) / np.sqrt(norms)
+    # What a window has in common with a passage shows in the latent space to the share of the passage that lies in it.
+    share = (u**2).sum(axis=1)
+    beside = np.flatnonzero(share < kept)
+    alone = np.zeros((len(p.codes), len(beside)), np.float32)
+    place = {int(k): c for c, k in enumerate(beside)}
+    for f, k, w in rows:
+        if k in place:
+            alone[f, place[k]] = w
+    latent = np.hstack([latent, alone])
+    own = np.zeros((len(beside), n), np.float32)
+    own[np.arange(len(beside)), beside] = 1 / np.sqrt(norms[beside])
+    passages[:, beside] = 0
+    passages = np.vstack([passages, own])
+    whole = share > 1 - 1e-6
+    whole[beside] = True
+    reach = np.where(whole, 1.0, share * (1 - SLACK)) * least
     average = float((weight**2).mean())
     lightest = np.full(len(p.codes), np.inf)
     for f, k, _ in rows:
@@ -346,12 +414,10 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     fewest = np.array([least_pairs(len(i)) for i in p.ids])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = _Reader(p)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            docs = [read(t) for t in texts]
+            texts, docs = batch.column(1), _ids(batch.column(2))
             found: dict[tuple[int, int], list] = {}
-            spots = [_spots(ids) for ids in docs]
+            spots = _spots(docs, p)
             for d, w, k, cosine in _candidates(docs, spots):
                 entry = found.setdefault((d, k), [0.0, set()])
                 entry[0] = max(entry[0], cosine)
@@ -361,40 +427,26 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             out = []
             for d, k in dict.fromkeys([*found, *starts]):
                 cosine, windows = found.get((d, k), (None, ()))
-                checked = _checked(docs[d], texts[d], k, windows, starts.get((d, k), ()))
+                checked = _checked(docs[d], texts[d].as_py(), k, windows, starts.get((d, k), ()))
                 out.append((batch.column(0)[d].as_py(), int(p.items[k]), cosine, *checked))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.float64(), pa.bool_()]
             names = ["doc_id", "item_id", "cosine", "run", "common", "answer"]
             columns = list(zip(*out)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    def _spots(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(pair, place) of the passages' pairs in a document."""
-        if len(ids) < 2:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        codes, at = pair_codes(ids, len(p.vocabulary))
-        f, hit = _places(p.codes, codes)
-        return f, at[hit]
-
-    def _candidates(docs: list[np.ndarray], spots: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int, float]]:
+    def _candidates(docs: list[np.ndarray], spots: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
         """(document, window, passage, cosine) of all windows of a batch that reach the passage's least cosine."""
-        owners, pairs, places, last = [], [], [], []
-        for d, ids in enumerate(docs):
-            last.append(max(0, -(-(len(ids) - WINDOW) // STEP)))
-            f, place = spots[d]
-            pairs.append(f)
-            places.append(place)
-            owners.append(np.full(len(f), d))
-        if not pairs or not sum(map(len, pairs)):
+        owner, pair, place = spots
+        if not len(pair):
             return
-        pair, place, owner = np.concatenate(pairs), np.concatenate(places), np.concatenate(owners)
-        ends = np.array(last)[owner]
+        last = np.maximum(0, -(-(np.array([len(d) for d in docs]) - WINDOW) // STEP))
+        ends = last[owner]
         window = np.minimum(place // STEP, ends)
         # A place near the start of its window also lies in the window before.
         again = (window > 0) & (place < (window - 1) * STEP + WINDOW)
         pair, owner = np.append(pair, pair[again]), np.append(owner, owner[again])
         window = np.append(window, window[again] - 1)
-        starts = np.append(0, np.cumsum(np.array(last) + 1))
+        starts = np.append(0, np.cumsum(last + 1))
         at = starts[owner] + window
         order = np.argsort(at, kind="stable")
         at, pair = at[order], pair[order]
@@ -412,28 +464,32 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         for chunk in np.array_split(np.flatnonzero(likely), max(1, likely.sum() // 2000)):
             if not len(chunk):
                 continue
-            cuts = np.append(0, np.cumsum(count[chunk]))[:-1]
-            take = np.repeat(first[chunk] - cuts, count[chunk]) + np.arange(count[chunk].sum())
-            x = np.add.reduceat(weighted[pair[take]], cuts, axis=0)
-            shared = x @ passages
-            cos = shared / norm[chunk, None]
-            for c, k in zip(*np.nonzero(shared >= least)):
+            # Windows by falling number of pairs: the k-th pairs of those that have so many are added at once.
+            chunk = chunk[np.argsort(-count[chunk], kind="stable")]
+            held = -count[chunk]
+            x = np.zeros((len(chunk), weighted.shape[1]), np.float32)
+            for j in range(-int(held[0])):
+                m = int(np.searchsorted(held, -j))
+                x[:m] += weighted[pair[first[chunk[:m]] + j]]
+            cos = (x @ passages) / norm[chunk, None]
+            for c, k in zip(*np.nonzero(cos >= reach / norm[chunk, None])):
                 i = ids[chunk[c]]
                 d = int(np.searchsorted(starts, i, "right") - 1)
                 yield d, int(i - starts[d]), int(k), float(cos[c, k])
 
-    def _reworded(spots: list[tuple[np.ndarray, np.ndarray]], lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    def _reworded(spots: tuple[np.ndarray, np.ndarray, np.ndarray], lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
         """(document, passage, starts) of the stretches of documents that have the fewest pairs of a paraphrase."""
         wide = int(lengths.max()) + int(sizes.max())
-        for low_d in range(0, len(spots), 200):
-            part = spots[low_d : low_d + 200]
-            f = np.concatenate([x for x, _ in part])
-            owner = np.repeat(np.arange(low_d, low_d + len(part)), [len(x) for x, _ in part])
+        order = np.argsort(spots[0], kind="stable")
+        owners, pairs, places = (x[order] for x in spots)
+        for low_d in range(0, len(lengths), 200):
+            part = slice(*np.searchsorted(owners, [low_d, low_d + 200]))
+            owner, f, at = owners[part], pairs[part], places[part]
             times = heads[f + 1] - heads[f]
             item = owned[np.repeat(heads[f] - np.append(0, np.cumsum(times))[:-1], times) + np.arange(times.sum())]
             group = np.repeat((owner - low_d) * n, times) + item
-            often = np.bincount(group, minlength=len(part) * n)[group] >= fewest[item]
-            both = np.unique(group[often] * wide + np.repeat(np.concatenate([x for _, x in part]), times)[often])
+            often = np.bincount(group, minlength=200 * n)[group] >= fewest[item]
+            both = np.unique(group[often] * wide + np.repeat(at, times)[often])
             group = both // wide
             last = np.arange(len(both)) + fewest[group % n] - 1
             first = np.flatnonzero(last < len(both))
@@ -462,16 +518,14 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             a, b = w * STEP, w * STEP + WINDOW
             part = ids[a:b]
             run = run or has_run(p.ids[k], part, p.tokens[k], lambda a=a, b=b: all_words()[a:b])
-            if not reworded:
-                common = max(common, common_length(p.ids[k], part))
         if reworded and not run:
             near = [np.arange(max(0, w * STEP + WINDOW - sizes[k]), w * STEP + 1) for w in windows]
             common = longest_common(p.ids[k], ids, np.unique(np.concatenate([np.asarray(starts, np.int64), *near])))
         share = common / len(p.ids[k])
-        answer = (run or share >= PARAPHRASE) and _contains(all_words(), p.answers[k])
+        answer = reworded and (run or share >= PARAPHRASE) and _contains(all_words(), p.answers[k])
         return run, share, bool(answer)
 
-    return documents.select(F.col(key).cast("bigint").alias("doc_id"), text).where(F.col(text).isNotNull()).mapInArrow(search, schema)
+    return documents.mapInArrow(search, schema)
 
 
 def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
