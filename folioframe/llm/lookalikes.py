@@ -150,6 +150,25 @@ def digests(texts: DataFrame) -> DataFrame:
     )
 
 
+def groups(texts: DataFrame) -> DataFrame:
+    """(src, id, class_id, n_ids, n_spellings, n_alike): every id whose text has a look-alike of another spelling; one row per id and spelling.
+
+    ``class_id`` is the smallest id of the class; ``n_ids`` and ``n_spellings`` are its ids and different texts; ``n_alike`` is the number of
+    pairs this text makes with ids of other spellings. Ids are counted per spelling first, so a hot spelling or class costs no task more
+    than its spellings; null texts are in no class.
+    """
+    rows = stored(digests(texts).distinct(), "forms")
+    spellings = rows.groupBy("src", "form", "raw").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
+    classes = (
+        spellings.groupBy("src", "form")
+        .agg(F.min("least").alias("class_id"), F.sum("n").alias("n_ids"), F.count(F.lit(1)).alias("n_spellings"))
+        .where("n_spellings > 1")
+    )
+    lookup = stored(spellings.join(classes, ["src", "form"]).drop("least").withColumn("own", F.col("n")), "spellings")
+    joined = heavy_join(rows, lookup, ["src", "form", "raw"], "n", rows.count())
+    return joined.select("src", "id", "class_id", "n_ids", "n_spellings", (F.col("n_ids") - F.col("own")).alias("n_alike"))
+
+
 def lookalike_pairs(texts: DataFrame) -> DataFrame:
     """(src, id_a, id_b): pairs of different ids, id_a < id_b, whose texts differ but have the same form; each pair once.
 

@@ -40,15 +40,19 @@ def _answers(merged: DataFrame, keys: list[str]) -> DataFrame:
     return merged.select(*keys, "n", "p50", "p90", "p95", "p99", *bounds)
 
 
+def _days(spark: SparkSession, folder: str) -> DataFrame:
+    # The measurements come out of a shuffle, so a key has one sketch per partition of it at most.
+    return rankcompactors.merge(_daily(spark, folder), DAILY, parts=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def p3_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles per metric, provider, file and day."""
-    return _answers(rankcompactors.merge(_daily(spark, folder), DAILY), DAILY)
+    return _answers(_days(spark, folder), DAILY)
 
 
 def p3_providers(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles per metric and provider, merged from the sketches of files and days."""
-    daily = rankcompactors.merge(_daily(spark, folder), DAILY)
-    return _answers(rankcompactors.merge(daily, ["metric", "provider"]), ["metric", "provider"])
+    return _answers(rankcompactors.merge(_days(spark, folder), ["metric", "provider"]), ["metric", "provider"])
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,6 +106,10 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalikes.lookalike_pairs(texts(spark, folder))
 
 
+def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.groups(texts(spark, folder))
+
+
 def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalikes.forms(texts(spark, folder))
 
@@ -135,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_paragraphs": p4_paragraphs,
     "p5_found": p5_found,
+    "p5_groups": p5_groups,
     "p5_forms": p5_forms,
     "p6_found": p6_found,
     "p6_languages": p6_languages,

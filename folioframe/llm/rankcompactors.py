@@ -12,6 +12,7 @@ merge level by level into the sketch of their union with the same bound.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,12 +21,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.session import stored
+
 #: Section size; a level holds 6 sections before its first compaction.
 K = 32
 SECTIONS = 3
 PERCENTILES = (0.5, 0.9, 0.95, 0.99)
-#: Partial sketches of one key that a single task merges; more are merged in two rounds.
+#: Partial sketches of one key that a single task merges; more are merged in a tree of as many rounds as they need.
 FAN_IN = 512
+#: Bit of a level's state that keeps the coin of its last even compaction; the bits below count the compactions.
+COIN = 1 << 62
 
 SKETCH = "n bigint, levels array<array<double>>, states array<bigint>"
 ANSWERS = ", ".join(f"p{round(100 * q)} double" for q in PERCENTILES)
@@ -62,7 +67,7 @@ class Sketch:
     def _shape(self, h: int) -> tuple[int, int]:
         """(section size, sections) of a level: more and smaller sections the more often it was compacted."""
         size, sections = float(self.k), SECTIONS
-        while self.states[h] >= 1 << (sections - 1) and size > 5.7:
+        while self.states[h] & (COIN - 1) >= 1 << (sections - 1) and size > 5.7:
             size, sections = size / 2**0.5, sections * 2
         return max(4, 2 * round(size / 2)), sections
 
@@ -77,17 +82,20 @@ class Sketch:
 
     def _compact(self, h: int, size: int, sections: int) -> None:
         values = np.sort(self.levels[h])
-        state = self.states[h]
+        state, coin = self.states[h] & (COIN - 1), self.states[h] >= COIN
         passed = min(((~state & (state + 1)).bit_length() - 1) + 1, sections)
         keep = size * sections + (sections - passed) * size
         cut = len(values) - keep
         cut -= cut & 1
-        # One coin for two compactions: the second takes the other half. The coin depends on the content only, so a task that
-        # runs again gives the same sketch.
-        coin = (int(np.abs(values[: 1 + cut // 2]).sum() * 1e3) + h + (state >> 1) * 7919) & 1 ^ (state & 1)
-        up = values[coin:cut:2]
+        # One coin for two compactions: the second takes the other half. The coin is a hash of the content, so a task that runs again
+        # gives the same sketch, while values and coin don't depend on each other.
+        if state & 1:
+            coin = not coin
+        else:
+            coin = bool(hashlib.blake2b(values[:cut].tobytes() + state.to_bytes(8, "little"), digest_size=1, key=bytes([h])).digest()[0] & 1)
+        up = values[int(coin) : cut : 2]
         self.levels[h] = values[cut:]
-        self.states[h] = state + 1
+        self.states[h] = state + 1 | (0 if state & 1 else coin * COIN)
         if h + 1 == len(self.levels):
             self.levels.append(np.empty(0))
             self.states.append(0)
@@ -237,27 +245,32 @@ def sketches(values: DataFrame, keys: list[str], value: str, k: int = K) -> Data
     return clean.sortWithinPartitions(*keys).mapInArrow(_sketcher(keys, k, False, False), schema)
 
 
-def merge(partial: DataFrame, keys: list[str], k: int = K) -> DataFrame:
+def merge(partial: DataFrame, keys: list[str], k: int = K, parts: int | None = None) -> DataFrame:
     """The sketches of ``partial`` merged per ``keys``, which may be fewer than those they were made for; with the percentiles.
 
-    Where a key can have more than ``FAN_IN`` parts they are merged in two rounds, so no task gets all parts of a hot key.
+    ``parts`` is the most sketches that one key can have, where that is known; else ``partial`` is written and counted. They are merged in
+    a tree: no task gets more than ``FAN_IN`` or so of one key, however hot it is. Infinite values are values like others.
     """
-    spark = partial.sparkSession
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in partial.select(*keys).schema)
     rows = partial.select(*keys, "n", "levels", "states")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if parts > FAN_IN:
-        salted = [*keys, "salt_"]
-        rows = (
-            rows.withColumn("salt_", F.pmod(F.monotonically_increasing_id(), F.lit(int(parts**0.5))).cast("int"))
-            .repartition(parts, *salted)
-            .select(*salted, "n", "levels", "states")
+    if parts is None:
+        rows = stored(rows, "sketches")
+        parts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts_")).agg(F.max("parts_")).first()[0] or 1
+    salted = [*keys, "salt_"]
+    while parts > FAN_IN:
+        # Ids rise by one inside a partition, so every key is spread evenly; the rows come from files or a shuffle in a fixed order.
+        parts = -(-parts // FAN_IN)
+        rows = stored(
+            rows.withColumn("salt_", F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int"))
+            .repartition(*salted)
             .sortWithinPartitions(*salted)
+            .select(*salted, "n", "levels", "states")
             .mapInArrow(_sketcher(salted, k, True, False), f"{kinds}, salt_ int, {SKETCH}")
-            .drop("salt_")
+            .drop("salt_"),
+            "merged",
         )
     return (
-        rows.repartition(parts, *keys)
+        rows.repartition(*keys)
         .sortWithinPartitions(*keys)
         .mapInArrow(_sketcher(keys, k, True, True), f"{kinds}, {SKETCH}, {ANSWERS}")
     )

@@ -94,15 +94,24 @@ def test_groups(spark):
     assert rankcompactors.merge(rankcompactors.sketches(df.limit(0), keys, "v"), keys).count() == 0
 
 
-def test_two_rounds_give_the_same_counts(spark):
-    df = spark.range(3000).selectExpr("id % 2 as g", "double(id) as v").repartition(6)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(rankcompactors.FAN_IN + 1))
-    try:
-        out = rankcompactors.merge(rankcompactors.sketches(df, ["g"], "v"), ["g"]).collect()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert sorted(r.n for r in out) == [1500, 1500]
+def test_a_key_with_all_sketches_is_merged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(rankcompactors, "FAN_IN", 4)
+    df = spark.range(6000).selectExpr("id % 60 as d", "'hot' as g", "if(id = 7, double('infinity'), double(id)) as v").repartition(6)
+    daily = rankcompactors.merge(rankcompactors.sketches(df, ["g", "d"], "v"), ["g", "d"])
+    out = rankcompactors.merge(daily, ["g"]).collect()
+    assert [(r.g, r.n) for r in out] == [("hot", 6000)]
+    assert abs(out[0].p50 - 3000) <= 6000 * rankcompactors.error_bound(0.5) + 2
+
+
+def test_infinite_values_and_repeated_runs():
+    values = np.concatenate([np.full(3000, -np.inf), np.arange(3000.0), np.full(3000, np.inf)])
+    sketches = []
+    for _ in range(2):
+        s = rankcompactors.Sketch()
+        s.add(np.random.default_rng(1).permutation(values))
+        sketches.append(s)
+    assert all(np.array_equal(a, b) for a, b in zip(*(s.levels for s in sketches)))
+    assert sketches[0].percentiles()[1:] == [np.inf] * 3 and abs(sketches[0].percentiles()[0] - 1500) < 9000 * rankcompactors.error_bound(0.5) + 2
 
 
 # packing --------------------------------------------------------------------------------------------------------------------

@@ -71,6 +71,8 @@ def test_forms_and_pairs(spark):
     pairs = {tuple(r)[1:] for r in lookalikes.lookalike_pairs(texts(spark, *rows)).collect()}
     group = [1, 2, 3, 4, 30]
     assert pairs == {(a, b) for a in group for b in group if a < b} - {(1, 30)}
+    classes = {(r.id, r.class_id, r.n_spellings, r.n_alike) for r in lookalikes.groups(texts(spark, *rows)).collect()}
+    assert classes == {(1, 1, 4, 3), (30, 1, 4, 3), (2, 1, 4, 4), (3, 1, 4, 4), (4, 1, 4, 4)}
     out = {r.id: r.form for r in lookalikes.forms(texts(spark, *rows)).collect()}
     assert out[2] == out[1] == base and out[20] is None and out[21] == ""
     assert lookalikes.lookalike_pairs(texts(spark, (1, "x")).limit(0)).count() == 0
