@@ -9,6 +9,8 @@
 3. ``shred`` builds each table with one scan: all access paths of the element are gathered in one array per record and
    exploded once. Every row keeps the record's key, the name and the position path of its parent row (the foreign key), and
    its own position.
+
+Payloads are parsed once and stored as VARIANT; all later steps read that. Strings are opened only where the graph found JSON in them.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.functions.jsontext import whole_json
+from folioframe.session import stored
 
 ITEM = "[]"
 #: Parts of an annotation that may come as JSON inside a string.
@@ -37,6 +40,7 @@ class Node:
     scalar: str | None = None
     children: dict[str, Node] = field(default_factory=dict)
     item: Node | None = None
+    texts: set[tuple[str, ...]] = field(default_factory=set)  # of the root: the places whose strings may hold JSON
 
 
 @dataclass
@@ -49,6 +53,7 @@ class Table:
     columns: list[tuple[str, tuple[str, ...], str]]
     keyed: bool
     parents: dict[tuple[str, ...], str]
+    texts: frozenset[tuple[str, ...]] = frozenset()
 
 
 def _tokens(text: str) -> list[str]:
@@ -100,72 +105,78 @@ def _merge(into: Node, other: Node) -> None:
         _merge(into.item, other.item)
 
 
+def _shallow(value: Column) -> Column:
+    """ARRAY or OBJECT by the value's outside alone, null for a scalar."""
+    return F.when(_items(value).isNotNull(), "ARRAY").when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), "OBJECT")
+
+
 def opened(value: Column) -> Column:
     """``value``, or the JSON it holds where it is a string with a JSON array or object inside."""
-    text = F.try_variant_get(value, "$", "string")
-    inner = F.when(text.rlike(r"^\s*[\[{]"), F.try_parse_json(text))
-    return F.when(F.schema_of_variant(value) == "STRING", F.coalesce(inner, value)).otherwise(value)
+    text = F.when(_shallow(value).isNull(), F.try_variant_get(value, "$", "string"))
+    return F.coalesce(F.when(text.rlike(r"^\s*[\[{]"), F.try_parse_json(text)), value)
 
 
 def _field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, "$['" + name.replace("'", "\\'") + "']", "variant")
 
 
-def _into(step: str):
-    return lambda e: F.struct(e["path"].alias("path"), _field(opened(e["v"]), step).alias("v"))
+def _as_is(value: Column) -> Column:
+    return value
+
+
+def _into(step: str, look):
+    return lambda e: F.struct(e["path"].alias("path"), _field(look(e["v"]), step).alias("v"))
 
 
 def _items(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def entries(value: Column, steps: tuple[str, ...]) -> Column:
+def entries(value: Column, steps: tuple[str, ...], texts: frozenset[tuple[str, ...]] = frozenset()) -> Column:
     """ARRAY<STRUCT<path ARRAY<INT>, v VARIANT>> of all values under ``value`` that ``steps`` lead to, with the array
-    positions passed on the way."""
+    positions passed on the way. Strings at the places ``texts`` are opened."""
     here = F.array(F.struct(F.array().cast("array<int>").alias("path"), value.alias("v")))
-    for step in steps:
+    for k, step in enumerate(steps):
+        look = opened if steps[:k] in texts else _as_is
         if step == ITEM:
-            here = F.flatten(
-                F.transform(
-                    here,
-                    lambda e: F.coalesce(
-                        F.transform(
-                            _items(opened(e["v"])),
-                            lambda x, i: F.struct(F.concat(e["path"], F.array(i.cast("int"))).alias("path"), x.alias("v")),
-                        ),
-                        F.array().cast("array<struct<path:array<int>,v:variant>>"),
-                    ),
-                )
-            )
+            here = F.flatten(F.transform(here, _each(look)))
         else:
-            here = F.filter(F.transform(here, _into(step)), lambda e: e["v"].isNotNull())
+            here = F.filter(F.transform(here, _into(step, look)), lambda e: e["v"].isNotNull())
     return here
 
 
+def _each(look):
+    return lambda e: F.coalesce(
+        F.transform(
+            _items(look(e["v"])),
+            lambda x, i: F.struct(F.concat(e["path"], F.array(i.cast("int"))).alias("path"), x.alias("v")),
+        ),
+        F.array().cast("array<struct<path:array<int>,v:variant>>"),
+    )
+
+
 def parsed(records: DataFrame, key: str, payload: str) -> DataFrame:
     """(rec, v): key and VARIANT of every record whose payload is valid JSON. Other columns are not read."""
     return records.select(F.col(key).alias("rec"), whole_json(F.col(payload)).alias("v")).where(F.col("v").isNotNull())
 
 
-def infer_graph(records: DataFrame, key: str, payload: str, embedded: tuple[str, ...] = (), max_rounds: int = 12) -> Node:
-    """The schema graph of all records; one aggregation per level of mixed places (two for most data).
+def infer_graph(base: DataFrame, embedded: tuple[str, ...] = ()) -> Node:
+    """The schema graph of all records of ``parsed``; one aggregation per level of mixed places (two for most data).
 
     A text is looked into for JSON where its name is that of a list or object elsewhere, or one of ``embedded``. An empty table gives a
-    graph with a root only. ``max_rounds`` bounds the nesting of mixed places, not their number.
+    graph with a root only. It ends when nothing mixed is left; every place is looked at once.
     """
-    base = parsed(records, key, payload)
     root = Node(ROOT)
     frontier: list[tuple[tuple[str, ...], Node]] = [((), root)]
-    opened_at: set[tuple[str, ...]] = set()
-    for _ in range(max_rounds):
-        wanted = []
-        for n, (steps, _node) in enumerate(frontier):
-            each = entries(F.col("v"), steps)
-            wanted.append(F.transform(each, _numbered(n)))
+    root.texts.add(())
+    seen: set[tuple[str, ...]] = {()}
+    while frontier:
+        wanted = [F.transform(entries(F.col("v"), steps, frozenset(root.texts)), _numbered(n)) for n, (steps, _node) in enumerate(frontier)]
+        kind = F.coalesce(_shallow(F.col("v")), F.regexp_extract(F.schema_of_variant("v"), r"^\w+", 0))
         rows = (
             base.select(F.explode(F.concat(*wanted)).alias("e"))
             .select("e.n", "e.v")
-            .groupBy("n", F.regexp_extract(F.schema_of_variant("v"), r"^\w+", 0).alias("kind"))
+            .groupBy("n", kind.alias("kind"))
             .agg(F.schema_of_variant_agg("v").alias("ddl"))
             .collect()
         )
@@ -175,15 +186,15 @@ def infer_graph(records: DataFrame, key: str, payload: str, embedded: tuple[str,
             _merge(node, read_schema(row["ddl"], node.label))
         every = list(_walk(root, ()))
         names = {node.label for _, node in every if node.children or node.item} | set(embedded)
-        later = [
+        frontier = [
             (steps, node)
             for steps, node in every
-            if "mixed" in node.kinds or node.scalar == "STRING" and node.label in names and steps and steps not in opened_at
+            if steps not in seen and ("mixed" in node.kinds or node.scalar == "STRING" and node.label in names)
         ]
-        opened_at |= {steps for steps, _ in later}
-        if not later:
-            return root
-        frontier = later
+        if any("mixed" in node.kinds for steps, node in every if steps in seen):
+            raise ValueError("a place stayed mixed after its kinds were told apart")
+        seen |= {steps for steps, _ in frontier}
+        root.texts |= {steps for steps, _ in frontier}
     return root
 
 
@@ -216,7 +227,7 @@ def plan_tables(root: Node, keyed: tuple[str, ...] = ()) -> dict[str, Table]:
     tables: dict[str, Table] = {}
 
     def table(label: str, steps: tuple[str, ...], parent: str) -> Table:
-        t = tables.setdefault(label, Table(label, [], [], label in keyed, {}))
+        t = tables.setdefault(label, Table(label, [], [], label in keyed, {}, frozenset(root.texts)))
         if steps not in t.paths:
             t.paths.append(steps)
             t.parents[steps] = parent
@@ -259,32 +270,38 @@ def _column(t: Table, name: str, steps: tuple[str, ...], kind: str) -> None:
     t.columns.append((name, steps, kind))
 
 
-def shred_table(records: DataFrame, key: str, payload: str, t: Table) -> DataFrame:
-    """One table: ``rec`` (the record's key), ``parent_table`` and ``parent_path`` (foreign key), ``path`` (with ``rec`` the
-    row's key), ``pos``, then the inlined columns, or ``item_key`` and ``value`` for a keyed element.
+def shred_table(base: DataFrame, t: Table) -> DataFrame:
+    """One table of the records of ``parsed``: ``rec`` (the record's key), ``parent_table`` and ``parent_path`` (foreign key), ``path`` (with
+    ``rec`` the row's key), ``pos``, then the inlined columns, or ``item_key`` and ``value`` for a keyed element.
 
     A keyed element gives one row per single value, named ``name`` or ``name.inner``; null and empty values give none. Records
     that are null or not valid JSON give no row. Repeated records give repeated rows, told apart by their key only.
     """
-    arrays = []
-    for steps in t.paths:
-        above = sum(s == ITEM for s in steps) - (steps[-1:] == (ITEM,))
-        arrays.append(F.transform(entries(F.col("v"), steps), _keyed_row(t.parents[steps], above)))
-    rows = parsed(records, key, payload).select("rec", F.explode(F.concat(*arrays)).alias("e")).select("rec", "e.*")
-    base = [F.col("rec"), "parent_table", "parent_path", "path", F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(0)).alias("pos")]
+    rows = base.select("rec", F.explode(_gathered(t)).alias("e")).select("rec", "e.*")
+    base_ = [F.col("rec"), "parent_table", "parent_path", "path", F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(0)).alias("pos")]
     if t.keyed:
-        return rows.select(*base, F.explode(_leaves(F.col("v"))).alias("leaf")).select(
+        return rows.select(*base_, F.explode(_leaves(F.col("v"))).alias("leaf")).select(
             "rec", "parent_table", "parent_path", "path", "pos", "leaf.item_key", "leaf.value"
         )
-    return rows.select(*base, *[F.try_variant_get(F.col("v"), _json_path(s), k.lower()).alias(n) for n, s, k in t.columns])
+    return rows.select(*base_, *[F.try_variant_get(F.col("v"), _json_path(s), k.lower()).alias(n) for n, s, k in t.columns])
 
 
-def _keyed_row(parent: str, above: int):
+def _gathered(t: Table) -> Column:
+    """The rows of a table in one record, by all ways to it."""
+    arrays = []
+    for steps in t.paths:
+        above = sum(s == ITEM for s in steps) - (steps[-1:] == (ITEM,))
+        look = opened if steps in t.texts else _as_is
+        arrays.append(F.transform(entries(F.col("v"), steps, t.texts), _keyed_row(t.parents[steps], above, look)))
+    return F.concat(*arrays)
+
+
+def _keyed_row(parent: str, above: int, look):
     return lambda e: F.struct(
         F.lit(parent).alias("parent_table"),
         F.slice(e["path"], 1, above).alias("parent_path"),
         e["path"].alias("path"),
-        opened(e["v"]).alias("v"),
+        look(e["v"]).alias("v"),
     )
 
 
@@ -314,50 +331,52 @@ def _leaves(v: Column) -> Column:
     return F.filter(every, lambda x: x["value"].isNotNull() & ~F.trim(x["value"]).isin("", "[]", "{}"))
 
 
-def shred(records: DataFrame, key: str, payload: str, keyed: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+def shred(records: DataFrame, key: str, payload: str, keyed: tuple[str, ...] = (), embedded: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """All tables of ``records``, by name. See the module for the method, ``shred_table`` for their columns."""
-    return {n: shred_table(records, key, payload, t) for n, t in plan_tables(infer_graph(records, key, payload), keyed).items()}
+    base = stored(parsed(records, key, payload), "parsed")
+    return {n: shred_table(base, t) for n, t in plan_tables(infer_graph(base, embedded), keyed).items()}
+
+
+def annotation_tables(records: DataFrame, key: str = "rec_id", payload: str = "payload") -> dict[str, DataFrame]:
+    """All tables of annotation payloads; validation checks are keyed."""
+    return shred(records, key, payload, ("checks",), PARTS)
 
 
 def annotation_children(records: DataFrame, key: str = "rec_id", payload: str = "payload") -> DataFrame:
     """Child rows of annotation payloads: box, relation and check with the page they lie on (columns of ``p1_found``).
 
     Boxes and relations are named by their position; relations carry the two block positions they join, −1 where absent, null or
-    not a whole number. Null payloads, payloads that are not JSON, empty tables and pages without children give no row.
+    not a whole number. Null payloads, payloads that are not JSON, empty tables and pages without children give no row. The three tables
+    are emitted together, by one scan of the parsed records.
     """
-    tables = plan_tables(infer_graph(records, key, payload, PARTS), keyed=("checks",))
+    base = stored(parsed(records, key, payload), "parsed")
+    tables = plan_tables(infer_graph(base, PARTS), keyed=("checks",))
     none = F.lit(-1)
 
-    def page_pos(t: Table) -> Column:
-        """The position in ``pages``, or 0 where the record itself is the page."""
-        return F.coalesce(F.try_element_at("parent_path", F.lit(1)), F.lit(0)).cast("int")
-
-    parts = []
-    for label, child in (("block_boxes", "box"), ("block_relations", "relation"), ("checks", "check")):
-        if label not in tables:
-            continue
-        t = tables[label]
-        rows = shred_table(records, key, payload, t)
-        names = {n for n, _, _ in t.columns}
-        end = lambda n: F.coalesce(F.col(n).try_cast("int"), none).cast("int") if n in names and child == "relation" else none
-        item = F.col("item_key") if child == "check" else F.col("pos").cast("string")
-        parts.append(
-            rows.select(
-                F.col("rec").cast("bigint").alias("rec_id"),
-                page_pos(t).alias("page_pos"),
-                F.lit(child).alias("child"),
-                item.alias("item_key"),
-                end("source").alias("source_idx"),
-                end("target").alias("target_idx"),
-            )
-        )
-    if not parts:
+    def row(child: str, r: Column, item: Column, source: Column = none, target: Column = none) -> Column:
+        # The position in ``pages``, or 0 where the record itself is the page.
+        page = F.coalesce(F.get(r["parent_path"], F.lit(0)), F.lit(0)).cast("int")
+        return F.struct(page.alias("page_pos"), F.lit(child).alias("child"), item.alias("item_key"), source.alias("source_idx"), target.alias("target_idx"))
+
+    def place(r: Column) -> Column:
+        return F.coalesce(F.try_element_at(r["path"], F.lit(-1)), F.lit(0)).cast("string")
+
+    def end(t: Table, name: str, r: Column) -> Column:
+        kinds = [k for n, _, k in t.columns if n == name]
+        return F.coalesce(F.try_variant_get(r["v"], _json_path((name,)), kinds[0].lower()).try_cast("int"), none) if kinds else none
+
+    arrays = []
+    if t := tables.get("block_boxes"):
+        arrays.append(F.transform(_gathered(t), lambda r: row("box", r, place(r))))
+    if t := tables.get("block_relations"):
+        links = t
+        arrays.append(F.transform(_gathered(t), lambda r: row("relation", r, place(r), end(links, "source", r), end(links, "target", r))))
+    if t := tables.get("checks"):
+        arrays.append(F.flatten(F.transform(_gathered(t), lambda r: F.transform(_leaves(r["v"]), lambda leaf: row("check", r, leaf["item_key"])))))
+    if not arrays:
         spark = records.sparkSession
         return spark.createDataFrame([], "rec_id bigint, page_pos int, child string, item_key string, source_idx int, target_idx int")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return base.select(F.col("rec").cast("bigint").alias("rec_id"), F.explode(F.concat(*arrays)).alias("e")).select("rec_id", "e.*")
 
 
 def relation_blocks(records: DataFrame, key: str = "rec_id", payload: str = "payload") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioframe.operators import shredding
 from folioframe.sources.tables import table
@@ -18,7 +19,19 @@ def p1_relations(spark: SparkSession, folder: str) -> DataFrame:
     return shredding.relation_blocks(table(spark, folder, "annotation_records"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_relations": p1_relations}
+def p1_linked(spark: SparkSession, folder: str) -> DataFrame:
+    """Relations with the image of the page they lie on, found through the foreign key of the relation table."""
+    tables = shredding.annotation_tables(table(spark, folder, "annotation_records"))
+    links = tables["block_relations"].select(F.col("rec").alias("rec_id"), "parent_table", "parent_path", "pos", F.col("relation").cast("string").alias("relation"))
+    parents = [tables[t].select(F.col("rec").alias("rec_id"), F.lit(t).alias("parent_table"), F.col("path").alias("parent_path"), F.col("image").cast("string").alias("image")) for t in ("record", "pages") if "image" in tables.get(t, links).columns]
+    pages = parents[0]
+    for more in parents[1:]:
+        pages = pages.unionByName(more)
+    joined = links.join(pages, ["rec_id", "parent_table", "parent_path"], "left")
+    return joined.select("rec_id", F.coalesce(F.get("parent_path", F.lit(0)), F.lit(0)).alias("page_pos"), F.col("pos").cast("int").alias("relation_pos"), "relation", "image")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_relations": p1_relations, "p1_linked": p1_linked}
 
 _PAGES = """
 rec AS (SELECT rec_id, CAST(payload AS JSON) AS j FROM annotation_records WHERE payload IS NOT NULL AND json_valid(payload)),
@@ -64,6 +77,8 @@ leaf AS (
 SELECT rec_id, page_pos, 'box' AS child, CAST(pos AS VARCHAR) AS item_key, -1 AS source_idx, -1 AS target_idx FROM box
 UNION ALL SELECT rec_id, page_pos, 'relation', CAST(pos AS VARCHAR), {_ENDS} FROM rel
 UNION ALL SELECT rec_id, page_pos, 'check', item_key, -1, -1 FROM leaf WHERE s NOT IN ('null', '""', '[]', '{{}}')""",
+    "p1_linked": f"""WITH {_PAGES} SELECT rel.rec_id, rel.page_pos, CAST(pos AS INTEGER) AS relation_pos, json_extract_string(e, '$.relation') AS relation,
+  json_extract_string(j, '$.image') AS image FROM rel JOIN page ON page.rec_id = rel.rec_id AND page.page_pos = rel.page_pos""",
     "p1_relations": f"""WITH {_PAGES},
 n AS (SELECT rec_id, page_pos, COUNT(*) AS n_boxes FROM box GROUP BY ALL),
 r AS (SELECT rec_id, page_pos, CAST(pos AS INTEGER) AS relation_pos, {_ENDS} FROM rel)
