@@ -152,66 +152,79 @@ def page_findings(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
     return annotations.select(key, F.posexplode(findings()).alias("pos", "f")).select(key, "pos", "f.*")
 
 
-def validate(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
-    """One row per page: valid, n_errors, n_warnings, level, class_count (of its blocks), diverse, then a status or two counters per check.
-
-    Statuses are PASS, WARN or FAIL, N/A for a page below level 4, and null for what was not looked at.
-    """
+def _result() -> list[Column]:
+    """The columns of ``validate`` over rows with the findings in ``f_`` and their numbers by ``check/severity`` in ``k_``."""
     n = _n()
     f = F.col("f_")
-    of = lambda check, severity=None: F.filter(f, lambda x: (x["check"] == check) & (x["severity"] == severity if severity else F.lit(True)))
-    number = lambda items: F.size(items).cast("bigint")
+    number = lambda check, severity: F.coalesce(F.try_element_at("k_", F.lit(f"{check}/{severity}")), F.lit(0)).cast("bigint")
+    both = lambda check: number(check, "error") + number(check, "warning")
     parts = F.size(missing_parts()) == 0
     looked = parts & (n > 0)
     level_4 = looked & _level_4()
     inner = level_4 & (F.size("reading_order") == n)
 
     def status(check: str, seen: Column) -> Column:
-        worst = F.when(F.size(of(check, "error")) > 0, "FAIL").when(F.size(of(check, "warning")) > 0, "WARN").otherwise("PASS")
-        return F.when(seen, worst)
+        worst = F.when(number(check, "error") > 0, "FAIL").when(number(check, "warning") > 0, "WARN").otherwise("PASS")
+        return F.when(seen, worst).alias(check)
 
-    order_faults = of("reading_order")
+    last = F.try_element_at(F.filter(f, lambda x: x["check"] == "reading_order"), F.lit(-1))["severity"]
     order = (
         F.when(looked & ~_level_4(), "N/A")
-        .when(level_4 & (F.size(of("reading_order_length")) > 0), "FAIL")
-        .when(level_4 & (F.size(order_faults) == 0), "PASS")
-        .when(level_4, F.when(F.try_element_at(order_faults, F.lit(-1))["severity"] == "error", "FAIL").otherwise("WARN"))
+        .when(level_4 & (both("reading_order_length") > 0), "FAIL")
+        .when(level_4 & (both("reading_order") == 0), "PASS")
+        .when(level_4, F.when(last == "error", "FAIL").otherwise("WARN"))
     )
     counted = lambda check, items, seen: (
-        F.when(seen, number(items) - number(of(check))).alias(f"{check}_valid"),
-        F.when(seen, number(of(check))).alias(f"{check}_invalid"),
+        F.when(seen, F.size(items).cast("bigint") - both(check)).alias(f"{check}_valid"),
+        F.when(seen, both(check)).alias(f"{check}_invalid"),
     )
-    errors = F.filter(f, lambda x: x["severity"] == "error")
+    errors = F.coalesce(F.try_element_at("k_", F.lit("error")), F.lit(0)).cast("bigint")
     distinct = F.size(F.array_distinct("block_classes"))
-    return annotations.withColumn("f_", findings()).select(
-        key,
-        (F.size(errors) == 0).alias("valid"),
-        number(errors).alias("n_errors"),
-        (number(f) - number(errors)).alias("n_warnings"),
+    return [
+        (errors == 0).alias("valid"),
+        errors.alias("n_errors"),
+        (F.size(f).cast("bigint") - errors).alias("n_warnings"),
         F.when(looked, F.when(_level_4(), 4).otherwise(3)).otherwise(0).alias("level"),
         F.when(looked, n).otherwise(0).alias("class_count"),
         F.when(looked, distinct > 1).alias("diverse"),
         F.when(parts, "PASS").otherwise("FAIL").alias("required_fields"),
-        status("array_lengths", parts).alias("array_lengths"),
-        status("non_empty", parts).alias("non_empty"),
+        status("array_lengths", parts),
+        status("non_empty", parts),
         *counted("boxes", F.col("block_boxes"), looked),
         *counted("classes", F.col("block_classes"), looked),
-        status("duplicate_boxes", looked).alias("duplicate_boxes"),
-        status("overlapping_boxes", looked).alias("overlapping_boxes"),
-        status("duplicate_text", looked).alias("duplicate_text"),
-        status("empty_text", looked).alias("empty_text"),
+        status("duplicate_boxes", looked),
+        status("overlapping_boxes", looked),
+        status("duplicate_text", looked),
+        status("empty_text", looked),
         order.alias("reading_order"),
         *counted("relations", F.col("block_relations"), inner),
-        status("table_captions", inner).alias("table_captions"),
-        status("figure_captions", inner).alias("figure_captions"),
-    )
+        status("table_captions", inner),
+        status("figure_captions", inner),
+    ]
 
 
-def score(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
-    """(key, ocr, layout, reading_order, boxes, relations, overall): whole points from 0 to 100, all percentages cut toward zero.
+def _found(annotations: DataFrame) -> DataFrame:
+    """``annotations`` with ``f_`` and, counted in one walk over them, ``k_``."""
+    plus = lambda m, key: F.map_concat(F.map_filter(m, lambda k, v: k != key), F.create_map(key, F.coalesce(F.try_element_at(m, key), F.lit(0)) + 1))
 
-    A page that lacks a required part has null scores. Here small boxes are not bad, and a relation of a block to itself is valid.
+    def add(m: Column, x: Column) -> Column:
+        once = plus(m, F.concat(x["check"], F.lit("/"), x["severity"]))
+        return F.when(x["severity"] == "error", plus(once, F.lit("error"))).otherwise(once)
+
+    counts = F.aggregate("f_", F.create_map().cast("map<string,int>"), add)
+    return annotations.withColumn("f_", findings()).withColumn("k_", counts)
+
+
+def validate(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
+    """One row per page: valid, n_errors, n_warnings, level, class_count (of its blocks), diverse, then a status or two counters per check.
+
+    Statuses are PASS, WARN or FAIL, N/A for a page below level 4, and null for what was not looked at.
     """
+    return _found(annotations).select(key, *_result())
+
+
+def _points() -> list[Column]:
+    """The five scores over the columns of a page; the overall one is their mean."""
     n = _n()
     least = F.greatest(n, F.lit(1))
     order = F.col("reading_order")
@@ -232,15 +245,35 @@ def score(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
         "relations": F.when((n > 0) & (F.size(held) > 0), percent(good, F.greatest(F.size(held), F.lit(1)))).when((n > 0) & _level_4(), 100).otherwise(0),
     }
     parts = F.size(missing_parts()) == 0
-    out = annotations.select(key, *[F.when(parts, c).cast("int").alias(name) for name, c in scores.items()])
-    total = reduce(lambda a, b: a + b, [F.col(c) for c in scores])
-    return out.withColumn("overall", (total / F.lit(5)).cast("int")).withColumnRenamed("order", "reading_order")
+    return [F.when(parts, c).cast("int").alias(name) for name, c in scores.items()]
+
+
+def _overall(names: list[str]) -> Column:
+    return (reduce(lambda a, b: a + b, [F.col(c) for c in names]) / F.lit(5)).cast("int").alias("overall")
+
+
+def score(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
+    """(key, ocr, layout, reading_order, boxes, relations, overall): whole points from 0 to 100, all percentages cut toward zero.
+
+    A page that lacks a required part has null scores. Here small boxes are not bad, and a relation of a block to itself is valid.
+    """
+    rows = annotations.select(key, *_points())
+    names = [c for c in rows.columns if c != key]
+    return rows.select(key, *[F.col(c).alias(n) for c, n in zip(names, SCORES)], _overall(names))
+
+
+def judged(annotations: DataFrame, key: str = "ann_id", *more: str) -> DataFrame:
+    """(key, ``more``, valid, diverse, class_count, score_*): checks and scores of every page, both from one reading of its row."""
+    result = {c: x for c, x in zip(("valid", "n_errors", "n_warnings", "level", "class_count", "diverse"), _result())}
+    points = [p.alias(f"score_{c}") for p, c in zip(_points(), SCORES)]
+    rows = _found(annotations).select(key, *more, result["valid"], result["diverse"], result["class_count"], *points)
+    return rows.select("*", _overall([f"score_{c}" for c in SCORES]).alias("score_overall"))
 
 
 def report(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
     """One row: pages, passed, and the mean of every score cut toward zero (0 for an empty table)."""
-    rows = validate(annotations, key).select(key, "valid").join(score(annotations, key), key)
-    means = [F.coalesce(F.avg(c).cast("int"), F.lit(0)).alias(f"avg_{c}") for c in (*SCORES, "overall")]
+    rows = judged(annotations, key)
+    means = [F.coalesce(F.avg(f"score_{c}").cast("int"), F.lit(0)).alias(f"avg_{c}") for c in (*SCORES, "overall")]
     return rows.agg(F.count(F.lit(1)).alias("pages"), F.count_if("valid").alias("passed"), *means)
 
 
@@ -257,17 +290,18 @@ def check_totals(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
 
 def best_pages(annotations: DataFrame, n: int, key: str = "ann_id", name: str = "image") -> DataFrame:
     """The ``n`` best pages for a sample: diverse ones first, then by the number of blocks, then by name and key. 0 keeps all."""
-    rows = validate(annotations, key).select(key, F.coalesce("diverse", F.lit(False)).alias("diverse"), "class_count")
-    rows = rows.join(annotations.select(key, name), key)
+    rows = judged(annotations, key, name).select(key, F.coalesce("diverse", F.lit(False)).alias("diverse"), "class_count", name)
     return rows.orderBy(F.desc("diverse"), F.desc("class_count"), name, key).limit(n) if n > 0 else rows
 
 
 def missing_fields(records: DataFrame, key: str, payload: str) -> DataFrame:
-    """(key, missing): the required parts whose key is absent from the object in ``payload``, joined by commas in fixed order, of records
-    that hold one page; ``unreadable`` for what is not a JSON object. Null payloads are unreadable."""
-    keys = F.json_object_keys(payload)
-    absent = F.array_except(F.array(*map(F.lit, REQUIRED)), keys)
-    readable = is_json(F.col(payload)) & keys.isNotNull()
-    return records.where(~F.coalesce(F.array_contains(keys, "pages"), F.lit(False))).select(
-        key, F.when(readable, F.array_join(absent, ",")).otherwise("unreadable").alias("missing")
-    )
+    """(key, page_pos, missing): of every page of the object in ``payload`` the required parts whose key is absent, joined by commas in fixed
+    order; ``unreadable`` (at page 0) for what is not a JSON object. Null payloads are unreadable; a page that is no object lacks all parts."""
+    whole = F.coalesce(is_json(F.col(payload)) & F.json_object_keys(payload).isNotNull(), F.lit(False))
+    listed = F.from_json(payload, "struct<pages:array<string>>")["pages"]
+    many = F.array_contains(F.json_object_keys(payload), "pages") & listed.isNotNull()
+    pages = F.when(whole & many, listed).otherwise(F.array(payload))
+    rows = records.select(key, whole.alias("whole"), F.posexplode(pages).alias("page_pos", "page"))
+    keys = F.coalesce(F.json_object_keys("page"), F.array().cast("array<string>"))
+    absent = F.array_join(F.array_except(F.array(*map(F.lit, REQUIRED)), keys), ",")
+    return rows.select(key, "page_pos", F.when(F.col("whole"), absent).otherwise("unreadable").alias("missing"))

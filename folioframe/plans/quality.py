@@ -151,7 +151,13 @@ FROM val JOIN score ON score.ann_id = val.ann_id""",
     "best_n_sample": f"""WITH {_VALIDATE}
 SELECT val.ann_id, COALESCE(diverse, FALSE) AS diverse, class_count, image FROM val JOIN page_annotations a ON a.ann_id = val.ann_id
 ORDER BY COALESCE(diverse, FALSE) DESC, class_count DESC, image, val.ann_id LIMIT 50""",
-    "missing_fields": f"""WITH r AS (SELECT rec_id, payload, CASE WHEN json_valid(payload) THEN json_keys(payload) END AS k FROM annotation_records)
-SELECT rec_id, CASE WHEN k IS NULL THEN 'unreadable' ELSE array_to_string(list_filter([{_LIST(validation.REQUIRED)}], lambda x: NOT list_contains(k, x)), ',') END AS missing
-FROM r WHERE NOT COALESCE(list_contains(k, 'pages'), FALSE)""",
+    "missing_fields": f"""WITH v AS (SELECT rec_id, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS j FROM annotation_records),
+r AS (SELECT rec_id, j, COALESCE(json_type(j) = 'OBJECT', FALSE) AS whole, COALESCE(json_type(j, '$.pages') = 'ARRAY', FALSE) AS several FROM v),
+p AS (
+  SELECT rec_id, whole, 0 AS page_pos, j AS page FROM r WHERE NOT (whole AND several)
+  UNION ALL SELECT rec_id, whole, CAST(i AS INTEGER), json_extract(j, '$.pages[' || i || ']')
+  FROM (SELECT *, unnest(range(CAST(json_array_length(j, '$.pages') AS BIGINT))) AS i FROM r WHERE whole AND several)
+)
+SELECT rec_id, page_pos, CASE WHEN NOT whole THEN 'unreadable' ELSE
+  array_to_string(list_filter([{_LIST(validation.REQUIRED)}], lambda x: NOT list_contains(CASE WHEN json_type(page) = 'OBJECT' THEN json_keys(page) ELSE [] END, x)), ',') END AS missing FROM p""",
 }

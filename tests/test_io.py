@@ -1,9 +1,12 @@
 import json
+import types
 import zipfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from folioframe import session
 from folioframe.operators import images
 from folioframe.sources import documents
 from folioframe.streaming import flows
@@ -38,6 +41,14 @@ def test_metrics_and_images(spark, tmp_path):
     assert sorted(r.n for r in called.collect())[-1] <= 3 and called.count() == 7
 
 
+def test_stored_tables_are_dropped(spark):
+    rows = session.stored(spark.range(5), "numbers")
+    assert rows.count() == 5 and session.drop_stored(spark) >= 1 and session.drop_stored(spark) == 0
+    fresh = types.SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(types.SimpleNamespace(sparkContext=fresh, conf={}))
+
+
 def test_kernels():
     page = np.full((200, 300), 255, np.uint8)
     page[50:120, 60:160] = 30

@@ -140,6 +140,28 @@ def test_percentages_are_cut_toward_zero(spark):
     assert validation.score(rows).first().ocr == 43
 
 
+def test_one_row_per_page_where_keys_repeat(spark):
+    rows = page(spark, SAMPLE, SAMPLE).withColumn("ann_id", F.lit(7).cast("long"))
+    assert validation.report(rows).first().pages == 2
+    assert validation.best_pages(rows, 5).count() == 2
+
+
+def test_overlay_labels_and_legend(spark):
+    rows = page(spark, ("p", [[0, 0, 9, 9]] * 3, ["Title", None, "Odd"], ["a"] * 3, [2, 0]))
+    out = [(r.color, r.label) for r in layout.overlay_boxes(rows).orderBy("idx").collect()]
+    assert out == [("255,0,0", "[0] Title RO:2"), ("0,255,0", "[1] Text RO:0"), ("200,200,200", "[2] Odd")]
+    assert [tuple(r)[1:] for r in layout.legend(rows).orderBy("pos").collect()] == [(0, "Odd", "200,200,200"), (1, "Title", "255,0,0")]
+
+
+def test_missing_fields_of_one_page_and_of_several(spark):
+    good = '{"image": 1, "block_boxes": [], "block_classes": [], "block_text": null}'
+    texts = [good, '{"image": 1}', f'{{"pages": [{good}, {{}}, 3]}}', "[1]", "{", None, '{"pages": 1}']
+    df = spark.createDataFrame(list(enumerate(texts)), "rec_id long, payload string")
+    out = {(r.rec_id, r.page_pos): r.missing for r in validation.missing_fields(df, "rec_id", "payload").collect()}
+    every = ",".join(validation.REQUIRED)
+    assert out == {(0, 0): "", (1, 0): every[6:], (2, 0): "", (2, 1): every, (2, 2): every, (3, 0): "unreadable", (4, 0): "unreadable", (5, 0): "unreadable", (6, 0): every}
+
+
 def test_empty_tables(spark):
     none = page(spark, SAMPLE).limit(0)
     for rows in (layout.reading_orders(none), layout.overlapping(none), validation.validate(none), validation.score(none), validation.page_findings(none)):
