@@ -55,7 +55,7 @@ def _responses(rows: DataFrame) -> DataFrame:
     return rows.where("text is not null").select("block_id", "box", "text").distinct().select("block_id", F.to_json(tree).alias("payload"))
 
 
-def _log_lines(log: DataFrame) -> DataFrame:
+def log_lines(log: DataFrame) -> DataFrame:
     """The usage log as the lines of a run log per provider: a step, an outcome, the head of the timing table and a time for each request."""
     once = usage.delivered_once(log).select("request_id", F.coalesce("provider", F.lit("none")).alias("file_name"), F.coalesce("file", F.lit("")).alias("file"), F.coalesce("ok", F.lit(False)).alias("ok"), "latency_ms")
     seconds = F.format_string("  request_%d: %.1fs", "request_id", F.floor(F.col("latency_ms") / 100) / 10)
@@ -99,9 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_reply": _two("provider_results", "blocks", _parsed),
     "ocr_flatten": _on("blocks", lambda b: replies.ocr_blocks(_responses(b), "block_id", "payload").drop("page", "block", "paragraph")),
     "quality_tags": _on("provider_results", lambda r: r.select("result_id", replies.quality(F.col("provider")).alias("quality"))),
-    "log_steps": _on("usage_log", lambda u: logs.step_events(_log_lines(u))),
-    "log_outcomes": _on("usage_log", lambda u: logs.outcomes(_log_lines(u))),
-    "log_timings": _on("usage_log", lambda u: logs.timings(_log_lines(u))),
+    "log_steps": _on("usage_log", lambda u: logs.step_events(log_lines(u))),
+    "log_outcomes": _on("usage_log", lambda u: logs.outcomes(log_lines(u))),
+    "log_timings": _on("usage_log", lambda u: logs.timings(log_lines(u))),
     "failover_first_success": _on("provider_results", _first_success),
     "order_normalise": _on("page_annotations", _order_normal),
     "label_rules": _on("blocks", _labels),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from folioframe.operators import validation
+from folioframe.operators import logs, validation
 from folioframe.sources.documents import annotations_of
 
 USAGE = (
@@ -38,6 +38,22 @@ def usage_windows(events: DataFrame, width: str = "1 hour", late: str = "2 days"
     )
 
 
+def log_stream(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, line_no, line) of run logs as they appear in ``path``; a log is read once, when it is whole."""
+    rows = spark.readStream.option("wholetext", True).format("text").schema("value string").load(path)
+    return rows.select(F.col("_metadata.file_name").alias("file_name"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+
+
+def running_stages(lines: DataFrame) -> DataFrame:
+    """(file_name, step, name, passed, failed): the step that each log is at and its pages by outcome, kept up to date over the lines that come; to
+    be written in update or complete mode. The state is one row per log."""
+    step = F.regexp_extract("line", logs.STEP, 1).try_cast("int")
+    outcome = F.regexp_extract("line", logs.OUTCOME, 2)
+    at = F.when(step.isNotNull(), F.struct("line_no", step.alias("step"), F.trim(F.regexp_extract("line", logs.STEP, 3)).alias("name")))
+    state = lines.groupBy("file_name").agg(F.max(at).alias("at"), F.count_if(outcome == "PASS").alias("passed"), F.count_if(outcome == "FAIL").alias("failed"))
+    return state.select("file_name", "at.step", "at.name", "passed", "failed")
+
+
 def run_available(rows: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Writes what is there to Parquet and stops; run again, it takes up only what is new."""
     return rows.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -73,3 +73,15 @@ def test_streams(spark, tmp_path):
     query = flows.usage_windows(stream).writeStream.format("memory").queryName("usage_w").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("usage_w").first().requests == 10
+
+
+def test_stages_of_streamed_logs(spark, tmp_path):
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs/a.log").write_text("[1/5] Rendering\n[2/5] OCR: page_1\np1.json: PASS\np2.json: FAIL")
+    states = flows.running_stages(flows.log_stream(spark, str(tmp_path / "logs")))
+    for n in (1, 2):
+        query = states.writeStream.format("memory").queryName(f"states_{n}").outputMode("complete").option("checkpointLocation", str(tmp_path / f"c{n}")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        (tmp_path / "logs/b.log").write_text("nothing yet")
+    assert [tuple(r) for r in spark.table("states_1").collect()] == [("a.log", 2, "OCR", 1, 1)]
+    assert {r.file_name: r.step for r in spark.table("states_2").collect()} == {"a.log": 2, "b.log": None}
