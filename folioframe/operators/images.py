@@ -1,10 +1,21 @@
-"""Image kernels on page scans, as plain array functions for use inside Arrow or pandas functions."""
+"""Image kernels on page scans: array functions, and the DataFrame operators that run them, one image at a time, inside Arrow batches.
+
+A grey image is a row with ``height``, ``width`` and ``pixels`` (BINARY, one byte per pixel, row by row).
+"""
 
 from __future__ import annotations
 
+import io
+import re
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+#: Head of a portable grey or colour map.
+_MAP = re.compile(rb"^P([56])\s+(?:#[^\n]*\n\s*)*(\d+)\s+(\d+)\s+(\d+)\s")
 
 
 def _box_mean(gray: np.ndarray, size: int) -> np.ndarray:
@@ -106,3 +117,68 @@ def picture_regions(gray: np.ndarray, text_boxes: list[tuple[int, int, int, int]
         if least <= area <= 0.5 * h * w and not (x2 - x1 > 0.9 * w and y2 - y1 > 0.9 * h):
             found.append([x1, y1, x2, y2])
     return sorted(found)
+
+
+def decode(content: bytes | None) -> np.ndarray | None:
+    """The grey image in a file's bytes, or None where they can't be read. Portable maps are read here, other formats by Pillow where it is installed."""
+    found = _MAP.match(content or b"")
+    if found:
+        depth, width, height = (3 if found[1] == b"6" else 1), int(found[2]), int(found[3])
+        data = np.frombuffer(content, np.uint8, offset=found.end())
+        if int(found[4]) > 255 or len(data) < width * height * depth:
+            return None
+        data = data[: width * height * depth].reshape(height, width, depth)
+        return data[:, :, 0] if depth == 1 else np.rint(data @ np.array([0.299, 0.587, 0.114])).astype(np.uint8)
+    try:
+        from PIL import Image
+
+        return np.asarray(Image.open(io.BytesIO(content)).convert("L"))
+    except Exception:  # whatever a broken file makes the reader raise, it is an unreadable image
+        return None
+
+
+def _grey(height, width, pixels) -> np.ndarray | None:
+    whole = pixels is not None and height and width and len(pixels) == height * width
+    return np.frombuffer(pixels, np.uint8).reshape(height, width) if whole else None
+
+
+def decoded(rows: DataFrame, key: str = "path", content: str = "content") -> DataFrame:
+    """(key, height, width, pixels) of image files; all null but the key where a file can't be read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [decode(x) for x in batch.column(1).to_pylist()]
+            size = lambda k: pa.array([None if g is None else g.shape[k] for g in found], pa.int32())
+            pixels = pa.array([None if g is None else g.tobytes() for g in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), size(0), size(1), pixels], [key, "height", "width", "pixels"])
+
+    return rows.select(key, content).mapInArrow(run, f"`{key}` {dict(rows.dtypes)[key]}, height int, width int, pixels binary")
+
+
+def prepared_images(rows: DataFrame, key: str = "path", steps: tuple[str, ...] = ("denoise", "enhance", "deskew")) -> DataFrame:
+    """The grey images of ``rows`` (key, height, width, pixels) after ``steps``, in their order; images that are null or of the wrong size are null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grey = [_grey(*x) for x in zip(*(c.to_pylist() for c in batch.columns[1:]))]
+            out = [None if g is None else prepared(g, steps).tobytes() for g in grey]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], [key, "height", "width", "pixels"])
+
+    return rows.select(key, "height", "width", "pixels").mapInArrow(run, f"`{key}` {dict(rows.dtypes)[key]}, height int, width int, pixels binary")
+
+
+def regions(rows: DataFrame, key: str = "path", text_boxes: str = "text_boxes", least: int = 3000) -> DataFrame:
+    """(key, pos, box) of the picture regions of grey images outside their ``text_boxes`` (ARRAY<ARRAY<INT>>); none for an unreadable image."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, pos, out = [], [], []
+            for k, (height, width, pixels, boxes) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                grey = _grey(height, width, pixels)
+                found = [] if grey is None else picture_regions(grey, [b for b in boxes or [] if b and len(b) == 4 and None not in b], least)
+                owner += [k] * len(found)
+                pos += range(len(found))
+                out += found
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), pa.array(pos, pa.int32()), pa.array(out, pa.list_(pa.int32()))], [key, "pos", "box"])
+
+    return rows.select(key, "height", "width", "pixels", text_boxes).mapInArrow(run, f"`{key}` {dict(rows.dtypes)[key]}, pos int, box array<int>")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import html
+import re
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,6 +96,60 @@ def pdf_pages(rows: DataFrame, dpi: int = 150) -> DataFrame:
     return rows.select("path", "content").mapInPandas(run, "path string, page_no int, image binary")
 
 
+def _count(content: bytes) -> int:
+    """Pages of a PDF, by PyMuPDF where it is installed, else by the page objects that stand open in the file."""
+    try:
+        import fitz
+    except ModuleNotFoundError:
+        found = len(re.findall(rb"/Type\s*/Page(?![A-Za-z])", content or b""))
+        if not (content or b"").startswith(b"%PDF") or not found:
+            raise ValueError("no page objects to be seen") from None
+        return found
+    with fitz.open(stream=content, filetype="pdf") as pdf:
+        return len(pdf)
+
+
+def page_counts(rows: DataFrame, unreadable: int | None = None) -> DataFrame:
+    """(path, pages) of PDF files (path, content); ``unreadable`` (null, or 0 as some callers want) for files that can't be read."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            pages = []
+            for content in frame["content"]:
+                try:
+                    pages.append(_count(content))
+                except Exception:  # a broken file is a count of its own
+                    pages.append(unreadable)
+            yield pd.DataFrame({"path": frame["path"], "pages": pd.array(pages, "Int32")})
+
+    return rows.select("path", "content").mapInPandas(run, "path string, pages int")
+
+
+def responses(files: DataFrame) -> DataFrame:
+    """(file_name, json): readable annotation files (file_name, payload) as answers, each with its own name in ``_file``, by name."""
+    keys = F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>")
+    own = F.map_concat(F.map_filter(keys, lambda k, v: k != "_file"), F.create_map(F.lit("_file"), F.try_parse_json(F.to_json(F.array("file_name")).substr(F.lit(2), F.length(F.to_json(F.array("file_name"))) - 2))))
+    return files.where(keys.isNotNull()).select("file_name", F.to_json(own).alias("json")).orderBy("file_name")
+
+
+def usage_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A usage log of JSON lines; an absent or unreadable one is an empty table, unreadable lines are left out."""
+    try:
+        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def zip_folder(folder: str, target: str) -> Path:
+    """Everything below a local folder as one ZIP, without the ZIP itself."""
+    root, out = Path(folder), Path(target)
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*")):
+            if file.is_file() and file.resolve() != out.resolve():
+                archive.write(file, file.relative_to(root))
+    return out
+
+
 def write_zip(annotations: DataFrame, path: str, folder: str, name: str = "image") -> Path:
     """A ZIP of pages, each as ``folder/stem.json``, written from an iterator over a result meant for one archive."""
     target = Path(path)

@@ -1,3 +1,4 @@
+import importlib.util
 import json
 import types
 import zipfile
@@ -58,6 +59,37 @@ def test_kernels():
     assert images.deskew(np.full((20, 20), 255, np.uint8)).shape == (20, 20)
 
 
+def test_images_as_rows(spark):
+    page = np.full((200, 300), 255, np.uint8)
+    page[50:120, 60:160] = 30
+    grey = b"P5\n# scan\n300 200\n255\n" + page.tobytes()
+    colour = b"P6 2 1 255\n" + bytes([255, 0, 0, 0, 0, 255])
+    rows = spark.createDataFrame([("a", grey, [[60, 50, 160, 120]]), ("b", grey, None), ("c", colour, []), ("d", b"no image", []), ("e", None, None)], "path string, content binary, text_boxes array<array<int>>")
+    read = images.decoded(rows).join(rows.select("path", "text_boxes"), "path")
+    out = {r.path: r for r in read.collect()}
+    assert bytes(out["a"].pixels) == page.tobytes() and list(out["c"].pixels) == [76, 29] and out["d"].pixels is None and out["e"].height is None
+    ready = {r.path: r.pixels for r in images.prepared_images(read, steps=("threshold",)).collect()}
+    assert set(ready["b"]) <= {0, 255} and ready["d"] is None
+    found = {(r.path, r.pos) for r in images.regions(read).collect()}
+    assert found == {("b", 0)}
+
+
+def test_page_counts_and_answers(spark, tmp_path):
+    pdf = b"%PDF-1.4 1 0 obj <</Type /Pages /Kids [2 0 R 3 0 R]>> <</Type /Page>> <</Type/Page >>"
+    rows = spark.createDataFrame([("a", pdf), ("b", b"x"), ("c", None)], "path string, content binary")
+    assert {tuple(r) for r in documents.page_counts(rows.where("path <> 'a'")).collect()} == {("b", None), ("c", None)}
+    assert {r.pages for r in documents.page_counts(rows.where("path <> 'a'"), 0).collect()} == {0}
+    if importlib.util.find_spec("fitz") is None:
+        assert documents.page_counts(rows.where("path = 'a'")).first().pages == 2
+    files = spark.createDataFrame([("b.json", '{"x": 1}'), ("a.json", '{"_file": 0, "y": null}'), ("c.json", "{"), ("d.json", None)], "file_name string, payload string")
+    assert [json.loads(r.json) for r in documents.responses(files).collect()] == [{"_file": "a.json", "y": None}, {"_file": "b.json", "x": 1}]
+    assert documents.usage_state(spark, str(tmp_path / "none"), "n int").count() == 0
+    (tmp_path / "u.jsonl").write_text('{"n": 1}\n{bad\n')
+    assert [r.n for r in documents.usage_state(spark, str(tmp_path / "u.jsonl"), "n int").collect()] == [1]
+    documents.zip_folder(str(tmp_path), str(tmp_path / "all.zip"))
+    assert zipfile.ZipFile(tmp_path / "all.zip").namelist() == ["u.jsonl"]
+
+
 def test_streams(spark, tmp_path):
     folder = tmp_path / "pages"
     folder.mkdir()
