@@ -207,6 +207,25 @@ def test_paraphrases_as_long_as_the_passage(spark):
     assert leakage.leaked(df, items).count() == 0 and [leakage.least_pairs(k) for k in (12, 42, 80)] == [2, 10, 19]
 
 
+def test_low_ranks_keep_leaks_and_planted_paraphrases(spark):
+    r = random.Random(21)
+    passages = [sentence(40, r) for _ in range(30)]
+    items = spark.createDataFrame([(k, "s", " ".join(p), p[0]) for k, p in enumerate(passages)], "item_id long, suite string, passage string, answer string")
+    rows = [(k, " ".join(sentence(60, r) + p[5:17] + sentence(60, r))) for k, p in enumerate(passages)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for share, kept in ((0.8, 0.8), (0.3, 0.8), (0.3, 0.0)):
+        found = leakage.leaks(df, items, rank_share=share, kept=kept).where("run").select("doc_id", "item_id").collect()
+        assert {(k, k) for k in range(30)} <= {tuple(x) for x in found}
+    planted = []
+    for k, p in enumerate(passages):
+        words = list(p)
+        for i in r.sample(range(1, 40), 14):
+            words[i] = r.choice(VOCABULARY)
+        planted.append((k, " ".join(sentence(50, r) + words)))
+    found = leakage.leaks(spark.createDataFrame(planted, "doc_id long, text string"), items, reworded=True).where("run or common >= 0.5 and answer")
+    assert len({x.doc_id for x in found.where("doc_id = item_id").collect()}) >= 27
+
+
 def test_latent_space_is_an_svd(spark):
     matrix = np.random.default_rng(1).random((6, 15)) * (np.random.default_rng(2).random((6, 15)) > 0.5)
     rows = [(j, [int(i) for i in np.flatnonzero(matrix[:, j])], [float(x) for x in matrix[:, j][matrix[:, j] != 0]]) for j in range(15)]
