@@ -73,9 +73,9 @@ def encode(records: DataFrame) -> DataFrame:
         .select("src", "id", "uid", "p.*")
         .withColumn("raw", _digest(F.col("field"), F.col("fold").cast("string"), F.col("value")))
     )
-    # The first pass: records as digests, and the distinct pairs with their counts.
-    pairs = stored(long.select("src", "id", "uid", "raw", "field", "value", "fold"), "pairs")
-    distinct = pairs.groupBy("raw").agg(
+    # Records as digests; the texts of values are read again for the distinct pairs rather than stored with every record.
+    pairs = stored(long.select("src", "id", "uid", "raw"), "pairs")
+    distinct = long.groupBy("raw").agg(
         F.first("field").alias("field"), F.first("value").alias("value"), F.first("fold").alias("fold"), F.count(F.lit(1)).alias("n")
     )
     canonical = distinct.select(
@@ -88,7 +88,7 @@ def encode(records: DataFrame) -> DataFrame:
     dictionary = stored(canonical.join(numbers, "canon").select("raw", "vid", "n"), "dictionary")
     total = pairs.count()
     return (
-        heavy_join(pairs.select("src", "id", "uid", "raw"), dictionary, ["raw"], "n", total)
+        heavy_join(pairs, dictionary, ["raw"], "n", total)
         .groupBy("src", "id", "uid")
         .agg(F.sort_array(F.collect_list("vid")).alias("ids"))
     )
