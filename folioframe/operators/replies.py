@@ -181,6 +181,11 @@ def originals(blocks: DataFrame) -> DataFrame:
     return rows.select(F.col("page_id").cast("bigint").alias("id"), F.lit(0).alias("page_pos"), *[F.col(f"rs.{c}").alias(n) for c, n in (("box", "boxes"), ("text", "texts"), ("is_picture", "pictures"))])
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """``rows`` as they are, their columns computed here: expressions that follow find values and don't repeat the computation per element."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def pages(
     replies: DataFrame, recognised: DataFrame | None = None, expected: int | None = None, level: int = 4, key: str = "result_id", text: str = "raw_text", provider: str = "provider"
 ) -> DataFrame:
@@ -201,12 +206,14 @@ def pages(
     rows = read.withColumn("ps", F.coalesce(listed, F.array().cast(f"array<{PAGE}>")))
     count = (F.size("ps") == F.lit(expected)) if expected is not None else F.size("ps") > 0
     rows = rows.withColumn("error", F.when(F.col("json").isNull(), F.col("error")).when(~count, "page count")).withColumn("row", F.monotonically_increasing_id())
-    failed = rows.where("error is not null").select("id", F.lit(None).cast("int").alias("page_pos"), "error")
-    rows = rows.where("error is null").select("id", "row", "provider", F.posexplode("ps").alias("page_pos", "p"))
+    listed = F.when(F.col("error").isNull(), F.col("ps"))
+    rows = rows.select("id", "row", "provider", "error", F.posexplode_outer(listed).alias("page_pos", "p"))
     if recognised is not None:
-        rows = rows.join(recognised.select("id", "page_pos", F.col("boxes").alias("ob"), F.col("texts").alias("ot"), F.col("pictures").alias("op")), ["id", "page_pos"], "left")
+        own = recognised.select("id", "page_pos", F.col("boxes").alias("ob"), F.col("texts").alias("ot"), F.col("pictures").alias("op"))
+        own = _apart(own.withColumn("og", geometry_order(whole(zipped("ob", "ot", "ot")))))
+        rows = rows.join(own, ["id", "page_pos"], "left")
     else:
-        kinds = (("ob", "array<array<int>>"), ("ot", "array<string>"), ("op", "array<boolean>"))
+        kinds = (("ob", "array<array<int>>"), ("ot", "array<string>"), ("op", "array<boolean>"), ("og", "array<int>"))
         rows = rows.withColumns({c: F.lit(None).cast(k) for c, k in kinds})
     known = F.coalesce(F.size("ot"), F.lit(0))
     rows = rows.withColumn("n_blocks", F.when(known > 0, known).otherwise(F.coalesce(F.size("p.block_classes"), F.lit(0))))
@@ -214,30 +221,33 @@ def pages(
     texts = F.transform(_places(n), lambda i: F.when(~is_blank(F.get("p.block_text", i)), F.get("p.block_text", i)).otherwise(F.coalesce(F.get("ot", i), F.lit(""))))
     own = F.col("p.block_text").isNotNull() & (F.size("p.block_boxes") == n)
     given = F.when(F.size("p.page_order") > 0, F.col("p.page_order")).otherwise(F.col("p.reading_order"))
-    order, source = order_of(given, n, geometry_order(whole(zipped("ob", "ot", "ot"))))
+    order, source = order_of(given, n, F.col("og"))
     rows = rows.select(
-        "id", "row", "page_pos", "provider", "n_blocks", "op", order.alias("order"), source.alias("order_source"),
+        "id", "row", "page_pos", "provider", "error", "n_blocks", "op", order.alias("order"), source.alias("order_source"),
         _fitted(F.col("p.block_classes"), n, "Text").alias("cs"), texts.alias("ts"),
         F.when(own, F.col("p.block_boxes")).when(known > 0, F.col("ob")).otherwise(F.array_repeat(F.array(*[F.lit(0)] * 4), n)).alias("bs"),
         F.coalesce("p.block_relations", F.array().cast(RELATIONS)).alias("relations"),
     )
+    rows = _apart(rows)
     side = lambda b, k: F.get(b, F.lit(k)).cast("double")
     area = lambda b: (side(b, 2) - side(b, 0)) * (side(b, 3) - side(b, 1))
     # Without recognised blocks no label is changed for its size.
     was = lambda i: F.when(F.col("op").isNull(), True).otherwise(F.coalesce(F.get("op", i), F.lit(False)))
     classes = F.transform("order", lambda i: label(F.get("cs", i), F.get("ts", i), area(F.get("bs", i)), was(i)))
     gathered = lambda c: F.transform("order", lambda i: F.get(F.col(c), i))
-    rows = rows.select("id", "row", "page_pos", "provider", "n_blocks", gathered("bs").alias("boxes"), classes.alias("classes"), gathered("ts").alias("texts"), "order", "order_source", "relations")
+    rows = rows.select("id", "row", "page_pos", "provider", "error", "n_blocks", gathered("bs").alias("boxes"), classes.alias("classes"), gathered("ts").alias("texts"), "order", "order_source", "relations")
     bad = F.size(F.filter("classes", lambda c: ~F.coalesce(c.isin(*CLASSES), F.lit(False)))) > 0
     # All pages of a reply fall with one of its labels; a reply's pages are few, and only they share a window.
     rows = rows.withColumn("bad", F.max(bad).over(Window.partitionBy("row")))
-    failed = failed.unionByName(rows.where("bad").select("id", F.lit(None).cast("int").alias("page_pos"), F.lit("unknown label").alias("error"), "row").dropDuplicates(["row"]).drop("row"))
-    full = F.lit(level >= 4)
-    good = rows.where("not bad").select(
-        "id", "page_pos", F.lit(None).cast("string").alias("error"), "n_blocks", "boxes", "classes", "texts", F.when(full, F.col("order")).alias("order"), "order_source",
-        F.when(full, F.col("relations")).alias("relations"), F.when(full, quality(F.col("provider"))).alias("quality"),
+    # Of a reply that falls with its labels one row stays.
+    rows = rows.where("not bad or coalesce(page_pos, 0) = 0").withColumn("error", F.coalesce("error", F.when(F.col("bad"), "unknown label")))
+    fine = F.col("error").isNull()
+    kept = lambda c, full=True: F.when(fine & F.lit(full), F.col(c) if isinstance(c, str) else c)
+    top = level >= 4
+    return rows.select(
+        "id", kept("page_pos").alias("page_pos"), "error", *[kept(c).alias(c) for c in ("n_blocks", "boxes", "classes", "texts")], kept("order", top).alias("order"),
+        kept("order_source").alias("order_source"), kept("relations", top).alias("relations"), kept(quality(F.col("provider")), top).alias("quality"),
     )
-    return good.unionByName(failed, allowMissingColumns=True)
 
 
 def first_success(attempts: DataFrame, batch: str, rank: str, ok: Column, result: str) -> DataFrame:
