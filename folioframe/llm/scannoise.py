@@ -1,4 +1,4 @@
-"""Noise in the text of scanned pages: where it sits, and the pages as readable paragraphs.
+"""Noise in the text of scanned pages: where it sits, and pages and blocks as readable paragraphs.
 
 * Misread characters: words are grouped by a skeleton in which glyphs that scanners confuse are one. In each group the frequent form
   that the neighbouring words support is the reading; rare members of the group are misread. Marks inside a word are noise as well.
@@ -103,7 +103,7 @@ def _roman(text: Column) -> Column:
 #: What the pass over the texts gives, in rows of several kinds (``part``): ``text`` (the words of a text), ``word`` (words counted in a
 #: batch), ``edge`` (lines at an edge that may be titles or numbers), ``cut`` (lines that end in a hyphen), ``mark`` (lines with marks inside words).
 COLUMNS = {
-    "part": "string", "src": "string", "row_id": "bigint", "load": "string", "page_id": "bigint", "file": "string", "page_no": "int", "idx": "int",
+    "part": "string", "src": "string", "row_id": "bigint", "load": "string", "time": "string", "page_id": "bigint", "file": "string", "page_no": "int", "idx": "int",
     "labelled": "boolean", "line_no": "int", "tokens": "string", "form": "string", "word": "string", "n": "bigint", "first": "string", "second": "string",
     "outer": "boolean", "title": "string", "bare": "string", "n_words": "int", "value": "int", "roman": "boolean", "only_number": "boolean",
     "numbered": "boolean", "closed": "boolean", "other": "boolean",
@@ -134,7 +134,7 @@ def _reading_sql(with_text: bool) -> tuple[list[str], list[str]]:
         f"""CREATE OR REPLACE TEMP TABLE f AS
             SELECT *, string_split(form, chr(10)) AS ls, regexp_matches(form, {_quoted(f"{letter}[{HYPHENS}]{joiner}{letter}")}) AS broken FROM (
                 SELECT * EXCLUDE (text), {form_sql("text", soft_hyphens=True)} AS form FROM batch)""",
-        f"""CREATE OR REPLACE TEMP TABLE w AS SELECT * EXCLUDE (form, ls), {"CASE WHEN src = 'page' THEN form END" if with_text else "NULL"} AS form,
+        f"""CREATE OR REPLACE TEMP TABLE w AS SELECT * EXCLUDE (form, ls), {"form" if with_text else "NULL"} AS form,
             trim({spaced}, ' -') AS tokens FROM f""",
     ]
     moved, root = _classes()
@@ -163,7 +163,7 @@ def _reading_sql(with_text: bool) -> tuple[list[str], list[str]]:
         WHERE a <> '' AND b <> ''"""
     mark = f"(SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM f WHERE regexp_matches(form, {marked})) WHERE regexp_matches(ls[i], {marked})"
     return tables, [
-        _part("text", "w", tokens="tokens", form="form"),
+        _part("text", "w", time="time", tokens="tokens", form="form"),
         _part("word", f"(SELECT unnest(string_split(tokens, ' ')) AS word FROM w) GROUP BY word HAVING NOT contains(word, '{_PART}') AND regexp_matches(word, '\\p{{L}}')", (), word="word", n="count(*)"),
         _part("mark", mark, line_no="i - 1"),
         _part("cut", cut, line_no="i - 1", first="ltrim(a, '-')", second="rtrim(b, '-')"),
@@ -178,21 +178,26 @@ def _reading_sql(with_text: bool) -> tuple[list[str], list[str]]:
 
 
 def lines(pages: DataFrame, blocks: DataFrame, with_text: bool = False) -> DataFrame:
-    """``COLUMNS`` of all texts, read in one pass; ``with_text`` adds the form of pages. Nothing is shuffled.
+    """``COLUMNS`` of all texts, read in one pass; ``with_text`` adds their form. Nothing is shuffled.
 
     Null texts have no row. A text delivered more than once is read each time, with its time of loading as text (``load``); results are made distinct.
+    With ``with_text``, ``load`` is a hash, so that different texts of one time stay apart; the time is in ``time``.
     """
 
     def column(rows: DataFrame, name: str, kind: str) -> Column:
         return (F.col(name) if name in rows.columns else F.lit(None)).cast(kind)
 
+    def load(rows: DataFrame, text: str) -> list[Column]:
+        time = column(rows, "loaded_at", "string")
+        return [(F.hex(F.hash(time, F.col(text))) if with_text else time).alias("load"), (time if with_text else F.lit(None).cast("string")).alias("time")]
+
     own = pages.select(
-        F.lit("page").alias("src"), F.col("page_id").cast("bigint").alias("row_id"), column(pages, "loaded_at", "string").alias("load"),
+        F.lit("page").alias("src"), F.col("page_id").cast("bigint").alias("row_id"), *load(pages, "full_text"),
         F.col("page_id").cast("bigint").alias("page_id"), "file", F.col("page_no").cast("int").alias("page_no"), F.lit(None).cast("int").alias("idx"),
         F.lit(False).alias("labelled"), F.col("full_text").alias("text"),
     )
     parts = blocks.select(
-        F.lit("block").alias("src"), F.col("block_id").cast("bigint").alias("row_id"), column(blocks, "loaded_at", "string").alias("load"),
+        F.lit("block").alias("src"), F.col("block_id").cast("bigint").alias("row_id"), *load(blocks, "text"),
         F.col("page_id").cast("bigint").alias("page_id"), F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("page_no"),
         F.col("idx").cast("int").alias("idx"), F.coalesce(F.col("class_label").isin("Page-header", "Page-footer"), F.lit(False)).alias("labelled"), "text",
     )
@@ -401,7 +406,7 @@ def edges(rows: DataFrame, pages: DataFrame) -> DataFrame:
     ``edge`` is 1 for the first and the last non-blank line of a page and 2 for the lines next to these; for blocks of one line, it goes
     by the place of the block in its page.
     """
-    lines_ = rows.where("part = 'edge'").select(*COLUMNS).drop("part", "tokens", "form", "word", "n", "first", "second")
+    lines_ = rows.where("part = 'edge'").select(*COLUMNS).drop("part", "time", "tokens", "form", "word", "n", "first", "second")
     place = pages.groupBy("page_id").agg(F.min(F.struct("file", F.col("page_no").cast("int").alias("page_no"))).alias("p"))
     ends = _kind(rows, "text", "src", "page_id", "idx").where("src = 'block'").groupBy("page_id").agg(F.min("idx").alias("top"), F.max("idx").alias("bottom"))
     in_blocks = (
@@ -493,52 +498,73 @@ def noise(pages: DataFrame, blocks: DataFrame) -> DataFrame:
     )
 
 
+def _concerned(rows: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``concerned``: true where the key is among ``keys``, and by chance elsewhere. ``PLACES`` bits are broadcast, for any number of keys."""
+    where = F.xxhash64(*key)
+    at, bit = F.pmod(where, F.lit(PLACES // 64)), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({', '.join(key)}) div {PLACES // 64}, 64) as int))")
+    set_ = keys.select(at.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits"))
+    marked = rows.withColumn("at", at).join(F.broadcast(set_), "at", "left").drop("at")
+    return marked.withColumn("concerned", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))).drop("bits")
+
+
 def paragraphs(pages: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(page_id, paragraph_no, text): every page as continuous paragraphs.
+    """(src, row_id, page_id, paragraph_no, text): every page and every block as continuous paragraphs; ``row_id`` as in ``noise``.
 
-    A page delivered more than once counts as its latest load. Running titles and page numbers are left out, broken words joined,
-    misread words replaced by their reading. A paragraph ends at a blank line, at the end of the page, or after a closed line that is much
-    shorter than the lines of its page.
+    A text delivered more than once counts as its latest load. Running titles and page numbers are left out, broken words joined,
+    misread words replaced by their reading. A paragraph ends at a blank line, at the end of the text, or after a closed line that is much
+    shorter than the lines of its text.
     """
     rows = stored(lines(pages, blocks, with_text=True), "lines")
     vocab = stored(vocabulary(rows), "vocabulary")
-    nothing = F.lit(None).cast("string")
+    key, nothing = ["src", "row_id"], F.lit(None).cast("string")
 
-    def notes(found: DataFrame, kind: Column | str, word: Column = nothing, reading: Column = nothing) -> DataFrame:
-        own = found.where("src = 'page'")
-        kind = F.lit(kind) if isinstance(kind, str) else kind
-        return own.select("row_id", F.struct(F.coalesce("load", F.lit("")).alias("load"), "line_no", kind.alias("kind"), word.alias("word"), reading.alias("reading")).alias("note"))
+    def notes(found: DataFrame, kind: str, word: Column = nothing, reading: Column = nothing) -> DataFrame:
+        return found.select(*key, F.struct("load", "line_no", F.lit(kind).alias("kind"), word.alias("word"), reading.alias("reading")).alias("note"))
 
     every = (
         notes(running_titles(rows, pages), "title")
         .unionByName(notes(_spotted(rows, vocab), "fix", F.col("word"), F.col("reading")))
-        .unionByName(notes(_breaks(rows, vocab), F.when(F.col("compound"), "compound").otherwise("break")))
+        .unionByName(notes(_breaks(rows, vocab).where("compound"), "compound"))
     )
-    # What is known of a page goes to its text by one join on the page; all that follows stays in its partition.
-    latest = _kind(rows, "text", "src", "row_id", "load", "form").where("src = 'page'").groupBy("row_id").agg(F.max_by(F.struct(F.coalesce("load", F.lit("")).alias("load"), "form"), F.coalesce("load", F.lit(""))).alias("p"))
-    page = latest.join(every.groupBy("row_id").agg(F.collect_set("note").alias("notes")), "row_id", "left")
-    page = page.select("row_id", F.filter("notes", lambda n: n["load"] == F.col("p.load")).alias("notes"), F.posexplode(F.split("p.form", "\n")).alias("line_no", "line"))
-    has = lambda kind: F.coalesce(F.exists("mine", lambda n: n["kind"] == kind), F.lit(False))
-    page = page.withColumn("mine", F.filter("notes", lambda n: n["line_no"] == F.col("line_no"))).drop("notes").where(~has("title"))
-    page = page.withColumns({"fixes": F.filter("mine", lambda n: n["kind"] == "fix"), "compound": F.when(has("compound"), True).when(has("break"), False)}).drop("mine")
-    w = Window.partitionBy("row_id").orderBy("line_no")
-    fixed = F.regexp_replace("line", rf"({_LETTER}){SPECKS}({_LETTER})", "$1$2")
-    fixed = F.coalesce(
-        F.aggregate("fixes", fixed, lambda s, f: F.regexp_replace(s, F.concat(F.lit(r"(?iU)(?<![\p{L}\p{M}\p{N}])\Q"), F.regexp_replace(f["word"], SPECKS, ""), F.lit(r"\E(?![\p{L}\p{M}\p{N}])")), f["reading"])),
-        fixed,
-    )
-    bare = F.trim(F.regexp_replace(fixed, r"\s+", " "))
-    whole = F.length("bare") * 1.0 / F.max(F.length("bare")).over(Window.partitionBy("row_id"))
-    page = page.withColumn("bare", bare).withColumn("share", whole)
-    stop = (F.col("bare") == "") | (F.col("share") < 0.6) & F.col("bare").rlike(_CLOSED)
-    page = page.withColumn("stop", stop).withColumn("before", F.coalesce(F.lag("stop").over(w), F.lit(False)).cast("int"))
-    page = page.withColumn("paragraph", F.sum("before").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("bare <> ''")
-    piece = (
-        F.when(F.col("compound"), F.col("bare"))
-        .when(F.col("compound").isNotNull(), F.regexp_replace("bare", f"[{HYPHENS}]\\s*$", ""))
-        .otherwise(F.concat("bare", F.lit(" ")))
-    )
-    text = F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", piece.alias("piece")))), lambda x: x["piece"]), ""))
-    grouped = page.groupBy("row_id", "paragraph").agg(text.alias("text"))
-    number = F.row_number().over(Window.partitionBy("row_id").orderBy("paragraph")) - 1
-    return grouped.select(F.col("row_id").alias("page_id"), number.alias("paragraph_no"), "text")
+    every = stored(every, "notes")
+    # Texts of which something is known, or that came more than once, meet it by one join; the others go without. All that follows stays in the row.
+    texts = _kind(rows, "text", *key, "page_id", "load", "time", "form")
+    again = _kind(rows, "text", *key).groupBy(*key).agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    texts = _concerned(texts, every.select(*key).unionByName(again.select(*key)), key)
+    latest = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("time"), "load"))
+    some = texts.where("concerned").withColumn("latest", latest).where("latest = 1").drop("latest")
+    some = some.join(every.groupBy(*key).agg(F.collect_set("note").alias("notes")), key, "left")
+    text = some.unionByName(texts.where("not concerned").withColumn("notes", F.lit(None).cast(some.schema["notes"].dataType)))
+    of = lambda kind: F.filter("notes", lambda n: (n["load"] == F.col("load")) & (n["kind"] == kind))
+    at = lambda kind: F.transform(of(kind), lambda n: n["line_no"])
+    has = lambda places, i: F.coalesce(F.array_contains(places, i), F.lit(False))
+    text = text.select(
+        "src", "row_id", "page_id", F.split("form", "\n").alias("ls"), of("fix").alias("fixes"),
+        at("title").alias("titles"), at("compound").alias("compounds"),
+    )
+    marked = rf"(?<={_LETTER}){SPECKS}(?={_LETTER})"
+
+    def repaired(line: Column, i: Column) -> Column:
+        found = lambda f: F.concat(F.lit(r"(?iU)(?<![\p{L}\p{M}\p{N}])\Q"), F.regexp_replace(f["word"], marked, ""), F.lit(r"\E(?![\p{L}\p{M}\p{N}])"))
+        return F.aggregate(F.filter("fixes", lambda f: f["line_no"] == i), line, lambda s, f: F.regexp_replace(s, found(f), f["reading"]))
+
+    # Each step is cheap where it has nothing to do, as in most lines.
+    where = lambda needed, pattern, to: lambda line: F.when(line.rlike(needed), F.regexp_replace(line, pattern, to)).otherwise(line)
+    text = text.withColumn("ls", F.transform("ls", where(SPECKS, marked, "")))
+    text = text.withColumn("ls", F.when(F.size("fixes") > 0, F.transform("ls", repaired)).otherwise(F.col("ls")))
+    text = text.withColumn("ls", F.transform("ls", where(r"[^\S ]|  ", r"\s+", " ")))
+    text = text.withColumn("ls", F.transform("ls", lambda line, i: F.when(~has("titles", i), F.trim(line))))
+    text = text.withColumn("widest", F.array_max(F.transform("ls", F.length)))
+
+    def piece(line: Column, i: Column) -> Column:
+        broken = line.rlike(f"{_LETTER}[{HYPHENS}]$") & F.coalesce(F.get("ls", i + 1), F.lit("")).rlike(f"^{_LETTER}")
+        return (
+            F.when(line == "", "\n")
+            .when(has("compounds", i), line)
+            .when(broken, F.regexp_replace(line, f"[{HYPHENS}]$", ""))
+            .when((F.length(line) < F.col("widest") * 0.6) & line.rlike(_CLOSED), F.concat(line, F.lit("\n")))
+            .otherwise(F.concat(line, F.lit(" ")))
+        )
+
+    whole = F.split(F.array_join(F.transform("ls", piece), ""), " *\n[ \n]*")
+    return text.select("src", "row_id", "page_id", F.posexplode(F.filter(F.transform(whole, lambda t: F.trim(t)), lambda t: t != "")).alias("paragraph_no", "text"))

@@ -111,6 +111,30 @@ def test_noise_by_kind(spark):
     assert "The documentation of the market and the well-preserved market." in text and "REGISTRY" not in text
 
 
+def test_blocks_are_repaired_as_pages_are(spark):
+    body = "The documentation of the well-preserved market was found\nbeside the documentation of the market."
+    pages = [(k, k, f"Registry of Markets\n{body}\n{body}\n- {k + 4} -") for k in range(1, 9)] + [(60, 60, None)]
+    misread = "The docurnentation of the mar-\nket and the well-\npreserved  mar|ket|s\n\nby  the market."
+    blocks = [(7, 3, 0, "Registry of Markets 7", "Page-header"), (8, 3, 1, misread, "Text"), (9, 60, 0, misread, "Text"), (10, 3, 2, None, "Text"), (11, 3, 3, " \n", "Text")]
+    _, p, b = noise(spark, pages, blocks)
+    out = [tuple(r) for r in scannoise.paragraphs(p, b).collect()]
+    repaired = ["The documentation of the market and the well-preserved markets", "by the market."]
+    # A page of which only blocks have text counts as well.
+    assert {r for r in out if r[0] == "block"} == {("block", i, page, k, t) for i, page in ((8, 3), (9, 60)) for k, t in enumerate(repaired)}
+    assert {r[1] for r in out if r[0] == "page"} == set(range(1, 9)) and len(out) == len(set(out))
+
+
+def test_texts_of_one_load_stay_apart(spark):
+    body = "The documentation of the old wide market was found\nbeside the documentation of the market."
+    pages = [(k, k, f"Registry of Markets\n{body}\n- {k + 4} -") for k in range(1, 9)]
+    long = "It stood beside the documentation of the market, near the old river."
+    pages += [(3, 3, f"{long}\nIt stood beside the documentation of the wide old mar-\nket near the documentation of the town and river.\n{long}")]
+    _, p, b = noise(spark, pages)
+    text = " ".join(r.text for r in scannoise.paragraphs(p, b).where("page_id = 3").orderBy("paragraph_no").collect())
+    middle = "It stood beside the documentation of the wide old market near the documentation of the town and river."
+    assert text in (body.replace("\n", " "), f"{long} {middle} {long}")
+
+
 def test_headings_that_recur_far_away_are_no_titles(spark):
     body = "The documentation of the market was found\nbeside the documentation of the market."
     first = {n: "Registry of Markets" for n in (*range(1, 9), *range(5001, 5009))}
